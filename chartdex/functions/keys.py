@@ -51,12 +51,19 @@ def prefix_of(rowkey) -> Column:
     return F.substring_index(as_column(rowkey), SEPARATOR, 3)
 
 
-def in_prefix_range(rowkey, prefix) -> Column:
+def in_prefix_range(rowkey, prefix: str) -> Column:
     """Half-open key range ``[prefix, prefix + '}')``, compared by UTF-8 bytes."""
     key = as_column(rowkey)
-    low = prefix if isinstance(prefix, Column) else F.lit(prefix)
-    high = F.concat(prefix, F.lit(RANGE_END)) if isinstance(prefix, Column) else F.lit(prefix + RANGE_END)
-    return (key >= low) & (key < high)
+    return (key >= F.lit(prefix)) & (key < F.lit(prefix + RANGE_END))
+
+
+def in_own_prefix_range(rowkey) -> Column:
+    """Is the key in the range of its own ``salt|oid|id|`` prefix?
+
+    It is when it has a third separator that ends the key or is followed by a
+    character below the range end.
+    """
+    return as_column(rowkey).rlike(r"\A(?:[^|]*\|){3}(?:[\x{00}-\x{7C}]|\z)")
 
 
 def visit_rowkey_prefix(eid, oid: str) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chartdex.functions.blank import as_column
 from chartdex.functions.codes import INPATIENT_CODE, OUTPATIENT_CODE, PROVINCES
-from chartdex.functions.keys import SEPARATOR, in_prefix_range, prefix_of, rowkey_prefix
+from chartdex.functions.keys import SEPARATOR, in_own_prefix_range, prefix_of, rowkey_prefix
 from chartdex.operators.numbering import number_within
 
 _KEY, _PART = "__lookup_key", "part"
@@ -57,12 +57,11 @@ def master_documents(patients: DataFrame, codes: list[str] = ROUTED_CODES) -> Da
             continue
         cell = F.col(RENAMED_FIELDS.get(name, name))
         fields.append((F.when(inpatient, cell) if name in INPATIENT_ONLY_FIELDS else cell).alias(name))
-    prefix = prefix_of(rowkey)
     return (
         patients.where(code.isin(codes) & number.isNotNull())
-        .where(in_prefix_range(rowkey, F.concat(prefix, F.lit(SEPARATOR))))
+        .where(in_own_prefix_range(rowkey))
         .select(
-            _pack(prefix, code).alias(_KEY),
+            _pack(prefix_of(rowkey), code).alias(_KEY),
             rowkey.alias("master_rowkey"),
             _pack(number, code).alias("id"),
             *fields,
@@ -112,7 +111,7 @@ def multi_value_docs(visits: DataFrame, patients: DataFrame, oid: str, part_size
 def lookup_doctors(visits: DataFrame, records: DataFrame, oid: str) -> DataFrame:
     """Add the doctors of the first visit record, by row key, of each visit; null where there is none."""
     first = (
-        records.where(in_prefix_range("rowkey", F.concat(prefix_of("rowkey"), F.lit(SEPARATOR))))
+        records.where(in_own_prefix_range("rowkey"))
         .groupBy(prefix_of("rowkey").alias("__prefix"), "VISIT_ID")
         .agg(F.min_by(F.struct(*DOCTOR_FIELDS), "rowkey").alias("__doctors"))
         .select(_pack(F.col("__prefix"), F.col("VISIT_ID")).alias(_KEY), "__doctors.*")

@@ -42,9 +42,10 @@ def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 def upsert_by_id(current: DataFrame, incoming: DataFrame, order: list[str], key: str = "id") -> DataFrame:
     """Insert or replace whole rows; among incoming rows of one key the latest wins."""
-    latest = latest_by_key(incoming, [key], order).select(*current.columns)
-    kept = current.join(latest.select(key), key, "left_anti").select(*current.columns)
-    return kept.unionByName(latest)
+    newest = F.max_by(F.struct(*current.columns), F.struct(*order, F.struct(*incoming.columns)))
+    new = incoming.groupBy(key).agg(newest.alias(_NEW))
+    old = current.select(key, F.struct(*current.columns).alias(_OLD))
+    return old.join(new, key, "full_outer").select(F.coalesce(_NEW, _OLD).alias(_NEW)).select(f"{_NEW}.*")
 
 
 def partial_update(current: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:

@@ -56,6 +56,14 @@ def test_prefix_range(spark):
     assert [r[0] for r in rows.where(keys.in_prefix_range("rowkey", "P|")).collect()] == ["P|", "P|a"]
 
 
+@pytest.mark.parametrize(
+    "key, expected",
+    [("s|o|p|", True), ("s|o|p|1", True), ("s|o|p||", True), ("s|o|p|}", False), ("s|o|p|~", False), ("s|o|p|中", False), ("s|o|p", False), ("s|o\n|p|\n", True)],
+)
+def test_own_prefix_range(value, key, expected):
+    assert value(keys.in_own_prefix_range(col(key))) is expected
+
+
 @pytest.mark.parametrize(
     "a, b, op, expected",
     [(1.0, 2.0, "<", True), (1.0, 1.0, "≥", True), (1.0, 2.0, "≠", True), (1.0, 2.0, "?", False), (1.0, 2.0, None, False), (2.0, 1.0, "≤", False)],
