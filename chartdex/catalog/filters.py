@@ -51,6 +51,16 @@ def _(spark, sf_dir):
     return filters.filter_rows(table(spark, sf_dir, "orders"), spec).select("o_orderkey", "o_custkey")
 
 
+_LISTED = "(select c_custkey from customer where c_mktsegment = 'BUILDING')"
+for _name, _negate in (("filter_in_table", False), ("filter_nin_table", True)):
+
+    @query(_name, f"select o_orderkey, o_custkey from orders where o_custkey {'not in' if _negate else 'in'} {_LISTED}")
+    def _(spark, sf_dir, negate=_negate):
+        values = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        return filters.in_table(orders, "o_custkey", values, negate)
+
+
 @query("filter_string_value", f"select p_partkey, p_name, p_type from {_PART} where p_type = 'PROMO' and p_brand <> 'Brand#2'")
 def _(spark, sf_dir):
     specs: list[FilterSpec] = []

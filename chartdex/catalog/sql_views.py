@@ -21,7 +21,7 @@ VIEWS = {
   case when c_custkey%5=0 then null else '555'||{_PID_C} end as HOME_PHONE,
   code as VISIT_TYPE_CODE, case when code='01' then 'OUTPV' else 'INPV' end as VISIT_TYPE_NAME,
   cast(1940+c_custkey%85 as varchar)||'-'||lpad(cast(1+c_custkey%12 as varchar),2,'0')||'-'||lpad(cast(1+c_custkey%28 as varchar),2,'0') as DATE_OF_BIRTH
- from customer, (values ('01'),('02')) c(code), (values (1),(2)) s(seq)
+ from (select *, unnest([1,2]) as seq from (select *, unnest(['01','02']) as code from customer) c) s
  where (seq=1 or c_custkey%50=0) and not (code='01' and c_custkey%10=0) and not (code='02' and c_custkey%7=0)""",
     "visits": f"""
  select {_key(_PID_O, "cast(o_orderkey as varchar)")} as rowkey, '1.2.156' as OID, 'G'||{_PID_O} as GLOBLE_ID,

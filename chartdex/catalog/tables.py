@@ -80,8 +80,9 @@ def _(spark, sf_dir):
 @query("delete_all", with_views("patients", "select cast(0 as bigint) as remaining, count(*) as before from patients"))
 def _(spark, sf_dir):
     index = views.patients(spark, sf_dir)
-    remaining = tables.delete_all(index).agg(F.count(F.lit(1)).alias("remaining"))
-    return remaining.join(index.agg(F.count(F.lit(1)).alias("before")), F.lit(True))
+    stored = index.select(F.lit(0).alias("remaining"), F.lit(1).alias("before"))
+    left = tables.delete_all(index).select(F.lit(1).alias("remaining"), F.lit(0).alias("before"))
+    return stored.unionByName(left).agg(F.sum("remaining").alias("remaining"), F.sum("before").alias("before"))
 
 
 _PUT_SQL = """with cur as (select c_custkey as rowkey, c_name, c_mktsegment, cast(c_nationkey as varchar) as c_nation from customer),

@@ -106,12 +106,14 @@ def all_of(specs: Iterable[FilterSpec]) -> Column:
     return reduce(lambda a, b: a & b, [s.column() for s in specs], F.lit(True))
 
 
-def any_of(specs: Iterable[FilterSpec], missing: str = "drop") -> Column:
-    return _combine(specs, lambda a, b: a | b, missing)
-
+def combine(specs: Iterable[FilterSpec], mode: str = "all", missing: str = "drop") -> Column:
+    """Filters joined by AND (``all``) or OR (``any``).
 
-def _combine(specs: Iterable[FilterSpec], join, missing: str) -> Column:
-    """Join filters, a missing cell counting as failed (``drop``) or passed (``keep``)."""
+    A missing cell counts as failed (``drop``) or passed (``keep``).
+    """
+    joins = {"all": lambda a, b: a & b, "any": lambda a, b: a | b}
+    if mode not in joins:
+        raise ValueError("mode must be 'all' or 'any'")
     if missing not in ("drop", "keep"):
         raise ValueError("missing must be 'drop' or 'keep'")
     tests = []
@@ -120,20 +122,24 @@ def _combine(specs: Iterable[FilterSpec], join, missing: str) -> Column:
         if missing == "keep":
             test = test | F.col(s.name).isNull()
         tests.append(test)
-    return reduce(join, tests) if tests else F.lit(True)
-
-
-def combine(specs: Iterable[FilterSpec], mode: str = "all", missing: str = "drop") -> Column:
-    """Filters joined by AND (``all``) or OR (``any``)."""
-    if mode not in ("all", "any"):
-        raise ValueError("mode must be 'all' or 'any'")
-    return _combine(specs, (lambda a, b: a & b) if mode == "all" else (lambda a, b: a | b), missing)
+    return reduce(joins[mode], tests) if tests else F.lit(True)
 
 
 def filter_rows(df: DataFrame, *specs: FilterSpec) -> DataFrame:
     return df.where(all_of(specs))
 
 
+def in_table(df: DataFrame, column: str, values: DataFrame, negate: bool = False) -> DataFrame:
+    """``in`` or ``nin`` against a table of values, for lists too long for a filter text.
+
+    ``values`` has one column. A missing cell is dropped either way.
+    """
+    listed = values.select(F.col(values.columns[0]).alias(column)).where(F.col(column).isNotNull())
+    if not negate:
+        return df.join(listed, column, "left_semi")
+    return df.where(F.col(column).isNotNull()).join(listed, column, "left_anti")
+
+
 def add_string_filter(column: str, value: str, op: str, specs: list[FilterSpec]) -> FilterSpec:
     """Append one text comparison to a list of filters."""
     spec = FilterSpec(column, op, value)

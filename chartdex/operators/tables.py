@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from chartdex.functions.blank import not_blank
 from chartdex.operators.numbering import number_rows
 
-_OLD, _NEW = "__old", "__new"
+_OLD, _NEW, _ROW = "__old", "__new", "__row"
 
 # Columns of the event table and of its two child tables.
 EVENT_COLUMNS = [
@@ -35,14 +35,18 @@ DUPLICATE_KEYS = ["patient_id", "visit_id", "order_no"]
 
 def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One whole row per key: the greatest by ``order``, then by the row itself."""
-    row = F.struct(*df.columns)
-    newest = F.max_by(row, F.struct(*order, row))
+    newest = F.max(_ranked(order, df.columns))[_ROW]
     return df.groupBy(*keys).agg(newest.alias(_NEW)).select(f"{_NEW}.*")
 
 
+def _ranked(order: list[str], columns: list[str]) -> Column:
+    """A whole row behind its order columns, to take the first or last row by aggregation."""
+    return F.struct(*order, F.struct(*columns).alias(_ROW))
+
+
 def upsert_by_id(current: DataFrame, incoming: DataFrame, order: list[str], key: str = "id") -> DataFrame:
     """Insert or replace whole rows; among incoming rows of one key the latest wins."""
-    newest = F.max_by(F.struct(*current.columns), F.struct(*order, F.struct(*incoming.columns)))
+    newest = F.max(_ranked(order, current.columns))[_ROW]
     new = incoming.groupBy(key).agg(newest.alias(_NEW))
     old = current.select(key, F.struct(*current.columns).alias(_OLD))
     return old.join(new, key, "full_outer").select(F.coalesce(_NEW, _OLD).alias(_NEW)).select(f"{_NEW}.*")
@@ -157,8 +161,8 @@ def append_drugs(current: DataFrame, new_rows: DataFrame, keyed_events: DataFram
 
 def append_idempotent(current: DataFrame, incoming: DataFrame, order: list[str], keys: list[str] = DUPLICATE_KEYS) -> DataFrame:
     """Append only rows whose keys are not stored yet; the first of equal incoming keys stays."""
-    row = F.struct(*incoming.columns)
-    first = incoming.groupBy(*keys).agg(F.min_by(row, F.struct(*order, row)).alias(_NEW)).select(f"{_NEW}.*")
+    earliest = F.min(_ranked(order, incoming.columns))[_ROW]
+    first = incoming.groupBy(*keys).agg(earliest.alias(_NEW)).select(f"{_NEW}.*")
     stored = current.select(*keys).distinct()
     return current.unionByName(first.join(stored, keys, "left_anti").select(*current.columns))
 

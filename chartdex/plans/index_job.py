@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from chartdex.operators.filters import FilterSpec
 from chartdex.operators.lookups import _KEY, DOCUMENT_FIELDS, master_documents, routed_visits
 from chartdex.operators.tables import upsert_by_id
 from chartdex.sources.scans import scan_filtered
+from chartdex.sources.sinks import BATCH_SIZE, write_batched
 
 # Columns read from the visit list.
 VISIT_COLUMNS = ["OID", "GLOBLE_ID", "IN_PATIENT_ID", "VISIT_ID", "VISIT_TYPE_CODE", "EID"]
@@ -31,19 +34,53 @@ def latest_visits(visits: DataFrame, oid: str) -> DataFrame:
     return routed_visits(last, oid).select(_KEY, "number", "VISIT_ID")
 
 
+def index_documents(visits: DataFrame, masters: DataFrame, oid: str) -> DataFrame:
+    """Index documents of visits over master documents, fresh or stored by ``save_masters``.
+
+    Where several documents share an id, that of the latest visit wins, then the
+    smallest EID and row key.
+    """
+    documents = latest_visits(visits, oid).join(masters, _KEY)
+    newest_first = F.coalesce(-F.col("number"), F.lit(_LAST_NUMBER))
+    winner = F.min_by(F.struct(*DOCUMENT_FIELDS[1:]), F.struct(newest_first, "EID", "master_rowkey"))
+    return documents.groupBy("id").agg(winner.alias("doc")).select("id", "doc.*")
+
+
 def patient_list_index(visits: DataFrame, patients: DataFrame, oid: str, patient_id: str | None = None) -> DataFrame:
     """Index documents of all visits, or of one patient's.
 
     Visits of a routed type are joined to the master rows of their patient and
-    type. Where several documents share an id, that of the latest visit wins, then
-    the smallest EID and row key.
+    type; a visit of another type or without a master row gives no document.
     """
+    return index_documents(_wanted(visits, patient_id), master_documents(patients), oid)
+
+
+def _wanted(visits: DataFrame, patient_id: str | None) -> DataFrame:
     one = [FilterSpec("IN_PATIENT_ID", "=", patient_id)] if patient_id and patient_id.strip() else []
-    wanted = scan_filtered(visits, one, *VISIT_COLUMNS)
-    documents = latest_visits(wanted, oid).join(master_documents(patients), _KEY)
-    newest_first = F.coalesce(-F.col("number"), F.lit(_LAST_NUMBER))
-    winner = F.min_by(F.struct(*DOCUMENT_FIELDS[1:]), F.struct(newest_first, "EID", "master_rowkey"))
-    return documents.groupBy("id").agg(winner.alias("doc")).select("id", "doc.*")
+    return scan_filtered(visits, one, *VISIT_COLUMNS)
+
+
+def save_masters(patients: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Store master documents bucketed and sorted by lookup key.
+
+    A job over the stored table joins without shuffling the master side again.
+    """
+    writer = master_documents(patients).write.mode("errorifexists").bucketBy(buckets, _KEY).sortBy(_KEY)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
+def run_index_job(
+    visits: DataFrame,
+    patients: DataFrame,
+    oid: str,
+    flush: Callable[[list[Row]], None],
+    patient_id: str | None = None,
+    batch_size: int = BATCH_SIZE,
+) -> None:
+    """Build the documents and hand them to an index in batches."""
+    write_batched(patient_list_index(visits, patients, oid, patient_id), flush, batch_size)
 
 
 def refresh_index(index: DataFrame, documents: DataFrame) -> DataFrame:

@@ -59,3 +59,32 @@ def test_xml_sink_round_trip(spark, tmp_path):
     back = spark.read.format("xml").option("rowTag", "node").schema("key array<struct<_VALUE:string,_label:string>>").load(path)
     got = {r["key"][0]["_VALUE"]: [(e["_label"], e["_VALUE"]) for e in r["key"]] for r in back.collect()}
     assert got == {str(i): [("k", str(i)), ("n", "null")] for i in range(50)}
+
+
+def test_index_job_pushes_every_document_once(spark, sf_dir, tmp_path):
+    from chartdex.plans import views
+    from chartdex.plans.index_job import patient_list_index, run_index_job
+
+    tables = views.visits(spark, sf_dir), views.patients(spark, sf_dir)
+    run_index_job(*tables, views.OID, file_flush(str(tmp_path)), batch_size=100)
+    batches = [json.load(open(f)) for f in tmp_path.iterdir()]
+    ids = sorted(r["id"] for r in patient_list_index(*tables, views.OID).collect())
+    assert sorted(i for b in batches for i in b) == ids and max(map(len, batches)) <= 100
+
+
+def test_stored_masters_join_without_a_shuffle(spark, sf_dir, tmp_path):
+    from chartdex.plans import views
+    from chartdex.plans.index_job import index_documents, patient_list_index, save_masters
+
+    visits, patients = views.visits(spark, sf_dir), views.patients(spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        save_masters(patients, "masters", 8, str(tmp_path / "masters"))
+        stored = index_documents(visits, spark.table("masters"), views.OID)
+        fresh = patient_list_index(visits, patients, views.OID)
+        counts = [d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for d in (stored, fresh)]
+        assert counts[0] == counts[1] - 1
+        assert sorted(map(str, stored.collect())) == sorted(map(str, fresh.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table if exists masters")
