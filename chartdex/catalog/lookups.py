@@ -72,12 +72,16 @@ def _(spark, sf_dir):
     "drop_no_id",
     with_views(
         "patients visits",
-        f"""select visit_rowkey, id from ({_ALL_DOCUMENTS}) d where EID is not null""",
+        f"""select visit_rowkey, id from ({_ALL_DOCUMENTS}) d
+            where HOME_PHONE is not null or VISIT_TYPE_CODE is not null""",
     ),
 )
 def _(spark, sf_dir):
     visits, patients = _tables(spark, sf_dir)
-    return lookups.route_by_type(visits, patients, views.OID).select("visit_rowkey", "id")
+    # masters without a phone lose their outpatient number, and with it their outpatient document
+    unnumbered = F.when(F.col("HOME_PHONE").isNotNull(), F.col("OUT_PATIENT_ID"))
+    found = lookups.route_by_type(visits, patients.withColumn("OUT_PATIENT_ID", unnumbered), views.OID)
+    return found.select("visit_rowkey", "id")
 
 
 @query(

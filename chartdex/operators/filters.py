@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Operator names.
 COMPARISONS = {
@@ -33,7 +34,7 @@ VALUE_TYPES = {
     "INT": "int",
     "LONG": "bigint",
     "DOUBLE": "double",
-    "DATE": "timestamp",
+    "DATE": "timestamp_ntz",
     "BOOL": "boolean",
     "SHORT": "smallint",
     "BIGDECIMAL": "decimal(38,18)",
@@ -68,17 +69,27 @@ class FilterSpec:
             items.pop()
         return items
 
-    def column(self) -> Column:
+    def column(self, schema: T.StructType | None = None) -> Column:
+        """The filter as a column; with the table's schema, typed cells are compared uncast."""
         if self.op in NULL_OPS:
             cell = F.col(self.name)
             return cell.isNull() if self.op == "isnull" else cell.isNotNull()
         if self.op in COMPARISONS:
             if VALUE_TYPES[self.type] == "string":
                 return COMPARISONS[self.op](F.col(self.name).cast("string"), F.lit(str(self.value)))
-            kind = VALUE_TYPES[self.type]
-            return COMPARISONS[self.op](F.col(self.name).try_cast(kind), F.lit(self.value).try_cast(kind))
+            return self._typed_match(schema)
         return self._text_match(F.col(self.name).cast("string"))
 
+    def _typed_match(self, schema: T.StructType | None) -> Column:
+        kind: str | T.DataType = VALUE_TYPES[self.type]
+        stored = schema[self.name].dataType if schema is not None and self.name in schema.names else T.StringType()
+        cell = F.col(self.name)
+        if isinstance(stored, T.StringType):
+            cell = cell.try_cast(kind)
+        elif isinstance(stored, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            kind = stored
+        return COMPARISONS[self.op](cell, F.lit(self.value).try_cast(kind))
+
     def _text_match(self, cell: Column) -> Column:
         parts = self.parts()
 
@@ -101,13 +112,10 @@ class FilterSpec:
         return ~listed if self.op == "nin" else listed
 
 
-def all_of(specs: Iterable[FilterSpec]) -> Column:
-    """Every filter passes; no filter at all passes every row."""
-    return reduce(lambda a, b: a & b, [s.column() for s in specs], F.lit(True))
-
-
-def combine(specs: Iterable[FilterSpec], mode: str = "all", missing: str = "drop") -> Column:
-    """Filters joined by AND (``all``) or OR (``any``).
+def combine(
+    specs: Iterable[FilterSpec], mode: str = "all", missing: str = "drop", schema: T.StructType | None = None
+) -> Column:
+    """Filters joined by AND (``all``) or OR (``any``); no filter at all passes every row.
 
     A missing cell counts as failed (``drop``) or passed (``keep``).
     """
@@ -118,7 +126,7 @@ def combine(specs: Iterable[FilterSpec], mode: str = "all", missing: str = "drop
         raise ValueError("missing must be 'drop' or 'keep'")
     tests = []
     for s in specs:
-        test = s.column()
+        test = s.column(schema)
         if missing == "keep":
             test = test | F.col(s.name).isNull()
         tests.append(test)
@@ -126,7 +134,7 @@ def combine(specs: Iterable[FilterSpec], mode: str = "all", missing: str = "drop
 
 
 def filter_rows(df: DataFrame, *specs: FilterSpec) -> DataFrame:
-    return df.where(all_of(specs))
+    return df.where(combine(specs, schema=df.schema))
 
 
 def in_table(df: DataFrame, column: str, values: DataFrame, negate: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartdex.functions.keys import in_prefix_range
-from chartdex.operators.filters import FilterSpec, all_of, combine, specs_from_text
+from chartdex.operators.filters import FilterSpec, combine, filter_rows, specs_from_text
 
 ROWKEY = "rowkey"
 
@@ -37,14 +37,14 @@ def scan_all(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def scan_filtered(df: DataFrame, specs: list[FilterSpec], *columns: str) -> DataFrame:
-    return _project(df.where(all_of(specs)), columns)
+    return _project(filter_rows(df, *specs), columns)
 
 
 def scan_filter_list(
     df: DataFrame, specs: list[FilterSpec], mode: str, *columns: str, missing: str = "drop"
 ) -> DataFrame:
     """Filters joined by AND (``all``) or OR (``any``), with the rule for missing cells given."""
-    return _project(df.where(combine(specs, mode, missing)), columns)
+    return _project(df.where(combine(specs, mode, missing, df.schema)), columns)
 
 
 def incremental_start(as_of: dt.date) -> int:
@@ -76,7 +76,7 @@ def scan_prefix(df: DataFrame, prefix: str, specs: list[FilterSpec] = (), *colum
     wanted = list(columns)
     if wanted:
         wanted += [s.name for s in specs if s.name not in wanted]
-    rows = df.where(in_prefix_range(ROWKEY, prefix)).where(all_of(specs))
+    rows = filter_rows(df.where(in_prefix_range(ROWKEY, prefix)), *specs)
     return _project(rows, wanted).orderBy(ROWKEY)
 
 
@@ -126,7 +126,7 @@ def search_index(
     Of several queries the last one counts; none matches everything. The id
     settles ties, so pages do not overlap.
     """
-    matched = index.where(all_of(queries[-1])) if queries else index
+    matched = filter_rows(index, *queries[-1]) if queries else index
     ordered = matched.orderBy(*sort, F.col("id").asc())
     page = ordered.offset(start).limit(rows)
     return page.select(*fields) if fields else page
