@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -125,9 +126,9 @@ def rows_to_json(value) -> Column:
     return F.coalesce(F.to_json(as_column(value), options), F.lit("{}"))
 
 
-def record_to_json(*columns: str) -> Column:
+def record_to_json(*columns: str, excluded: Sequence[str] = JSON_EXCLUDED) -> Column:
     """The named columns of a row as one JSON object, without the excluded fields."""
-    return rows_to_json(F.struct(*[c for c in columns if c not in JSON_EXCLUDED]))
+    return rows_to_json(F.struct(*[c for c in columns if c not in excluded]))
 
 
 def json_to_xml(value, schema: str, row_tag: str = "o") -> Column:

@@ -112,9 +112,9 @@ def lookup_doctors(visits: DataFrame, records: DataFrame, oid: str) -> DataFrame
     """Add the doctors of the first visit record, by row key, of each visit; null where there is none."""
     first = (
         records.where(in_own_prefix_range("rowkey"))
-        .groupBy(prefix_of("rowkey").alias("__prefix"), "VISIT_ID")
-        .agg(F.min_by(F.struct(*DOCTOR_FIELDS), "rowkey").alias("__doctors"))
-        .select(_pack(F.col("__prefix"), F.col("VISIT_ID")).alias(_KEY), "__doctors.*")
+        .groupBy("VISIT_ID", prefix_of("rowkey").alias("__prefix"))
+        .agg(F.min(F.struct("rowkey", *DOCTOR_FIELDS)).alias("__first"))
+        .select(_pack(F.col("__prefix"), F.col("VISIT_ID")).alias(_KEY), *[F.col(f"__first.{f}") for f in DOCTOR_FIELDS])
     )
     keyed = visits.withColumn(_KEY, _pack(rowkey_prefix("IN_PATIENT_ID", oid), F.col("VISIT_ID")))
     return keyed.join(first, _KEY, "left").drop(_KEY)

@@ -37,7 +37,7 @@ def group_first(pairs: DataFrame, order: str | None = None) -> DataFrame:
 
     Aggregates on the map side first, so a frequent key costs one row per task.
     """
-    chosen = F.min("value") if order is None else F.min_by("value", F.struct(order, "value"))
+    chosen = F.min("value") if order is None else F.min(F.struct(order, "value"))["value"]
     return pairs.where(not_blank("value")).groupBy("key").agg(chosen.alias("value"))
 
 
@@ -80,13 +80,23 @@ def put_field_to_map(entries) -> Column:
     return F.map_filter(as_column(entries), lambda k, v: v.isNotNull())
 
 
+def fields_to_map(df: DataFrame, mappings: dict[str, str], blanks: bool = True) -> Column:
+    """Cells of a row as a map from save name to text; its size is the number of cells taken.
+
+    Null cells are left out, without ``blanks`` blank cells too, and a blank save
+    name takes nothing.
+    """
+    entries = []
+    for name, column in mappings.items():
+        if name.strip():
+            entries += [F.lit(name), cell_value(df, column)]
+    record = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
+    return put_field_to_map(record) if blanks else put_to_map(record)
+
+
 def copy_nonblank(df: DataFrame, field: str, save_name: str | None) -> DataFrame:
     """Add a cell under a new name where it is not blank; a blank name adds nothing."""
     if save_name is None or not save_name.strip():
         return df
     cell = cell_value(df, field)
     return df.withColumn(save_name, F.when(not_blank(cell), cell))
-
-
-def list_rows_distinct(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()

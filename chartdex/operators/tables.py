@@ -76,9 +76,8 @@ def partial_update(current: DataFrame, changes: DataFrame, key: str = "id") -> D
 
 def collapse_cells(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Per key and column, the latest non-null cell of several puts."""
-    rank = F.struct(*order)
     cells = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(rank, F.col(c)))).alias(c)
+        F.max(F.when(F.col(c).isNotNull(), F.struct(*order, c)))[c].alias(c)
         for c in changes.columns
         if c != key and c not in order
     ]

@@ -42,7 +42,8 @@ def index_documents(visits: DataFrame, masters: DataFrame, oid: str) -> DataFram
     """
     documents = latest_visits(visits, oid).join(masters, _KEY)
     newest_first = F.coalesce(-F.col("number"), F.lit(_LAST_NUMBER))
-    winner = F.min_by(F.struct(*DOCUMENT_FIELDS[1:]), F.struct(newest_first, "EID", "master_rowkey"))
+    document = F.struct(*DOCUMENT_FIELDS[1:]).alias("doc")
+    winner = F.min(F.struct(newest_first, "EID", "master_rowkey", document))["doc"]
     return documents.groupBy("id").agg(winner.alias("doc")).select("id", "doc.*")
 
 

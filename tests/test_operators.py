@@ -112,6 +112,15 @@ def test_keyed_and_renamed_records(spark):
     assert renamed == [("O1", "r1", "x"), (None, "r2", None)]
 
 
+def test_fields_to_map(spark):
+    rows = spark.createDataFrame([("x", " ", None)], "a string, b string, c string")
+    mappings = {"one": "a", "two": "b", "three": "c", "four": "absent", " ": "a"}
+    record = lambda **k: rows.select(reshape.fields_to_map(rows, mappings, **k).alias("m")).first()["m"]
+    assert record() == {"one": "x", "two": " "}
+    assert record(blanks=False) == {"one": "x"}
+    assert rows.select(F.size(reshape.fields_to_map(rows, {})).alias("n")).first()["n"] == 0
+
+
 def test_numbering_is_dense_over_a_frequent_key(spark):
     rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 11).alias("k"), "id").repartition(16)
     numbered = number_rows(rows, [F.col("k").desc(), F.col("id").asc()]).orderBy("row_no").collect()
