@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartdex.operators.joins import matching
+
 # Operator names.
 COMPARISONS = {
     "=": lambda c, v: c == v,
@@ -142,10 +144,8 @@ def in_table(df: DataFrame, column: str, values: DataFrame, negate: bool = False
 
     ``values`` has one column. A missing cell is dropped either way.
     """
-    listed = values.select(F.col(values.columns[0]).alias(column)).where(F.col(column).isNotNull())
-    if not negate:
-        return df.join(listed, column, "left_semi")
-    return df.where(F.col(column).isNotNull()).join(listed, column, "left_anti")
+    listed = values.select(F.col(values.columns[0]).alias(column))
+    return matching(df.where(F.col(column).isNotNull()), listed, column, present=not negate)
 
 
 def add_string_filter(column: str, value: str, op: str, specs: list[FilterSpec]) -> FilterSpec:

@@ -4,6 +4,7 @@ A lookup by key prefix is an equi-join on the ``salt|oid|id`` part of the row ke
 Where a side is aggregated first, the join runs on one packed text key instead of
 on the grouping columns: both sides then enter the join straight from a shuffle,
 which is what adaptive execution needs to split a frequent key over several tasks.
+Patient ids must not contain the key separator.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from chartdex.functions.blank import as_column
 from chartdex.functions.codes import INPATIENT_CODE, OUTPATIENT_CODE, PROVINCES
 from chartdex.functions.keys import SEPARATOR, in_own_prefix_range, prefix_of, rowkey_prefix
+from chartdex.operators.joins import matching
 from chartdex.operators.numbering import number_within
 
 _KEY, _PART = "__lookup_key", "part"
@@ -97,10 +99,9 @@ def multi_value_docs(visits: DataFrame, patients: DataFrame, oid: str, part_size
     ``part`` 1, 2, …, so no list grows without bound and no value is left out.
     """
     fields = [f for f in DOCUMENT_FIELDS if f != "VISIT_ID"]
-    numbered = number_within(master_documents(patients), [_KEY], [F.col("master_rowkey")], "__no")
-    part = F.floor((F.col("__no") - 1) / part_size).cast("bigint")
-    values = F.sort_array(F.collect_list(F.struct("__no", *fields)))
-    parts = numbered.groupBy(_KEY, part.alias(_PART)).agg(values.alias("__values"))
+    values = F.sort_array(F.collect_list(F.struct("master_rowkey", *fields)))
+    parted = _in_parts(master_documents(patients), part_size)
+    parts = parted.groupBy(_KEY, _PART).agg(values.alias("__values"))
     keyed = routed_visits(visits, oid).select(_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
     joined = keyed.join(parts, _KEY)
     lists = {f: F.col(f"__values.{f}") for f in fields}
@@ -108,6 +109,18 @@ def multi_value_docs(visits: DataFrame, patients: DataFrame, oid: str, part_size
     return joined.select("visit_rowkey", _PART, *[lists[f].alias(f) for f in DOCUMENT_FIELDS])
 
 
+def _in_parts(masters: DataFrame, part_size: int) -> DataFrame:
+    """Give master documents their part: 0, or by position where a key has more than ``part_size``.
+
+    Only the rows of such large keys are put in order and numbered.
+    """
+    large_keys = masters.groupBy(_KEY).count().where(F.col("count") > part_size).select(_KEY)
+    numbered = number_within(matching(masters, large_keys, _KEY), [_KEY], [F.col("master_rowkey")], "__no")
+    part = F.call_function("div", F.col("__no") - 1, F.lit(part_size))
+    small = matching(masters, large_keys, _KEY, present=False).withColumn(_PART, F.lit(0).cast("bigint"))
+    return small.unionByName(numbered.withColumn(_PART, part).drop("__no"))
+
+
 def lookup_doctors(visits: DataFrame, records: DataFrame, oid: str) -> DataFrame:
     """Add the doctors of the first visit record, by row key, of each visit; null where there is none."""
     first = (

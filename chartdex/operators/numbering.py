@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chartdex.operators.joins import join_by
 from chartdex.session import ensure_checkpoint_dir
 
 _SLOT, _PART, _BEFORE = "__slot", "__part", "__before"
@@ -45,8 +46,6 @@ def number_within(df: DataFrame, group: list[str], order: list[Column], name: st
     """
     table_wide = "__table_wide"
     numbered = number_rows(df, [F.col(g) for g in group] + order, table_wide)
-    renamed = {g: f"__first_{g}" for g in group}
-    keys = [F.col(g).alias(r) for g, r in renamed.items()]
-    first = numbered.groupBy(*keys).agg(F.min(table_wide).alias("__first_no"))
-    same = [F.col(g).eqNullSafe(F.col(r)) for g, r in renamed.items()]
-    return numbered.join(first, same).select(*df.columns, (F.col(table_wide) - F.col("__first_no") + 1).alias(name))
+    first = numbered.groupBy(*group).agg(F.min(table_wide).alias("__first_no"))
+    joined = join_by(numbered, first, group, "inner")
+    return joined.select(*df.columns, (F.col(table_wide) - F.col("__first_no") + 1).alias(name))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartdex.functions.blank import not_blank
+from chartdex.operators.joins import matching
 from chartdex.operators.numbering import number_rows
 
 _OLD, _NEW, _ROW = "__old", "__new", "__row"
@@ -117,7 +118,7 @@ def put_nonblank(current: DataFrame, changes: DataFrame, key: str = "rowkey") ->
 
 
 def delete_by_key(current: DataFrame, keys: DataFrame, key: str = "EID") -> DataFrame:
-    return current.join(keys.select(key), key, "left_anti").select(*current.columns)
+    return matching(current, keys, key, present=False)
 
 
 def delete_all(current: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from chartdex.functions.keys import in_prefix_range
 from chartdex.operators.filters import FilterSpec, combine, filter_rows, specs_from_text
+from chartdex.operators.joins import matching
 
 ROWKEY = "rowkey"
 
@@ -91,7 +92,7 @@ def get_by_key(df: DataFrame, value: str, key: str = ROWKEY) -> DataFrame:
 
 def get_by_keys(df: DataFrame, keys: DataFrame, key: str = ROWKEY) -> DataFrame:
     """The whole rows of all keys in a key table."""
-    return df.join(keys.select(key), key, "left_semi")
+    return matching(df, keys, key)
 
 
 def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartdex.operators import lookups, tables
+from chartdex.operators.joins import matching
 from chartdex.operators.numbering import number_within
 from chartdex.plans.index_job import patient_list_index
 
+MASTER_CELLS = ["EID", "VISIT_TYPE_NAME", "INP_NO", "OUTP_NO", "PERSON_NAME", "SEX_CODE", "SEX_NAME", "ID_CARD_NO", "HOME_PHONE", "DATE_OF_BIRTH"]
 HOT, OTHERS, ROWS = "00000000", 2000, 120_000
 
 
@@ -100,6 +102,34 @@ def test_numbering_within_a_hot_group(spark, small_partitions):
     assert sums.where((F.col("rows") != F.col("last")) | (F.col("rows") != F.col("distinct"))).count() == 0
 
 
+def test_multi_value_documents_with_a_hot_master(spark, small_partitions):
+    i = F.col("id")
+    pid = F.when(i % 3 == 0, HOT).otherwise(F.lpad((i % OTHERS).cast("string"), 8, "0"))
+    code = F.lit("02")
+    rows = spark.range(0, 30_000, numPartitions=8).select(
+        F.concat_ws("|", F.reverse(F.right(pid, F.lit(4))), F.lit("o"), pid, code, i.cast("string")).alias("rowkey"),
+        pid.alias("IN_PATIENT_ID"), pid.alias("OUT_PATIENT_ID"), code.alias("VISIT_TYPE_CODE"),
+        *[F.sha2(F.concat(F.lit(c), i.cast("string")), 256).alias(c) for c in MASTER_CELLS],
+    )
+    visits = visit_rows(spark).where(F.col("VISIT_ID") < "2").limit(3).withColumn("IN_PATIENT_ID", F.lit(HOT))
+    docs = lookups.multi_value_docs(visits, rows, "o", part_size=1000)
+    sizes = [r["n"] for r in docs.select(F.size("id").alias("n")).collect()]
+    assert max(sizes) == 1000 and sum(sizes) == 3 * rows.where(F.col("IN_PATIENT_ID") == HOT).count()
+    masters = lookups.master_documents(rows)
+    parted = lookups._in_parts(masters, 1000)
+    assert "skew=true" in final_plan(parted.groupBy("part").agg(F.max("EID")))
+
+
+@pytest.mark.parametrize("present", [True, False])
+def test_membership_in_an_aggregated_key_table(spark, small_partitions, present):
+    rows = visit_rows(spark)
+    keys = rows.groupBy("IN_PATIENT_ID").count().where(F.col("count") > 1000)
+    kept = matching(rows, keys, "IN_PATIENT_ID", present)
+    assert "skew=true" in final_plan(kept.groupBy("OID").agg(F.max("rowkey")))
+    hot = ROWS // 3 + rows.where((F.col("IN_PATIENT_ID") == HOT) & (F.col("VISIT_ID") % 3 != 0)).count()
+    assert kept.count() == (hot if present else ROWS - hot)
+
+
 def test_upsert_with_a_hot_id(spark, small_partitions):
     visits = visit_rows(spark).select(F.col("IN_PATIENT_ID").alias("id"), F.col("VISIT_ID").cast("bigint").alias("v"))
     current = spark.createDataFrame([(HOT, -1), ("kept", -2)], "id string, v bigint")
