@@ -51,10 +51,10 @@ def prefix_of(rowkey) -> Column:
     return F.substring_index(as_column(rowkey), SEPARATOR, 3)
 
 
-def in_prefix_range(rowkey, prefix: str) -> Column:
+def in_prefix_range(rowkey, prefix: str | Column) -> Column:
     """Half-open key range ``[prefix, prefix + '}')``, compared by UTF-8 bytes."""
-    key = as_column(rowkey)
-    return (key >= F.lit(prefix)) & (key < F.lit(prefix + RANGE_END))
+    key, low = as_column(rowkey), prefix if isinstance(prefix, Column) else F.lit(prefix)
+    return (key >= low) & (key < F.concat(low, F.lit(RANGE_END)))
 
 
 def in_own_prefix_range(rowkey) -> Column:

@@ -18,7 +18,7 @@ from chartdex.functions.keys import SEPARATOR, in_own_prefix_range, prefix_of, r
 from chartdex.operators.joins import matching
 from chartdex.operators.numbering import number_within
 
-_KEY, _PART = "__lookup_key", "part"
+LOOKUP_KEY, _PART = "lookup_key", "part"
 
 # Fields of an index document; outpatient documents leave the type fields out.
 DOCUMENT_FIELDS = [
@@ -41,7 +41,7 @@ def _pack(*parts: Column) -> Column:
 def routed_visits(visits: DataFrame, oid: str, codes: list[str] = ROUTED_CODES) -> DataFrame:
     """Visits of the given types with the key of their master rows; other types give no document."""
     code = F.col("VISIT_TYPE_CODE")
-    return visits.where(code.isin(codes)).withColumn(_KEY, _pack(rowkey_prefix("IN_PATIENT_ID", oid), code))
+    return visits.where(code.isin(codes)).withColumn(LOOKUP_KEY, _pack(rowkey_prefix("IN_PATIENT_ID", oid), code))
 
 
 def master_documents(patients: DataFrame, codes: list[str] = ROUTED_CODES) -> DataFrame:
@@ -63,7 +63,7 @@ def master_documents(patients: DataFrame, codes: list[str] = ROUTED_CODES) -> Da
         patients.where(code.isin(codes) & number.isNotNull())
         .where(in_own_prefix_range(rowkey))
         .select(
-            _pack(prefix_of(rowkey), code).alias(_KEY),
+            _pack(prefix_of(rowkey), code).alias(LOOKUP_KEY),
             rowkey.alias("master_rowkey"),
             _pack(number, code).alias("id"),
             *fields,
@@ -73,8 +73,8 @@ def master_documents(patients: DataFrame, codes: list[str] = ROUTED_CODES) -> Da
 
 def lookup_documents(visits: DataFrame, patients: DataFrame, oid: str, codes: list[str] = ROUTED_CODES) -> DataFrame:
     """One document per visit and matching master row; the EID is the master row's."""
-    keyed = routed_visits(visits, oid, codes).select(_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
-    found = keyed.join(master_documents(patients, codes), _KEY)
+    keyed = routed_visits(visits, oid, codes).select(LOOKUP_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
+    found = keyed.join(master_documents(patients, codes), LOOKUP_KEY)
     return found.select("visit_rowkey", "master_rowkey", *DOCUMENT_FIELDS)
 
 
@@ -101,9 +101,9 @@ def multi_value_docs(visits: DataFrame, patients: DataFrame, oid: str, part_size
     fields = [f for f in DOCUMENT_FIELDS if f != "VISIT_ID"]
     values = F.sort_array(F.collect_list(F.struct("master_rowkey", *fields)))
     parted = _in_parts(master_documents(patients), part_size)
-    parts = parted.groupBy(_KEY, _PART).agg(values.alias("__values"))
-    keyed = routed_visits(visits, oid).select(_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
-    joined = keyed.join(parts, _KEY)
+    parts = parted.groupBy(LOOKUP_KEY, _PART).agg(values.alias("__values"))
+    keyed = routed_visits(visits, oid).select(LOOKUP_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
+    joined = keyed.join(parts, LOOKUP_KEY)
     lists = {f: F.col(f"__values.{f}") for f in fields}
     lists["VISIT_ID"] = F.array_repeat("VISIT_ID", F.size("__values"))
     return joined.select("visit_rowkey", _PART, *[lists[f].alias(f) for f in DOCUMENT_FIELDS])
@@ -114,10 +114,10 @@ def _in_parts(masters: DataFrame, part_size: int) -> DataFrame:
 
     Only the rows of such large keys are put in order and numbered.
     """
-    large_keys = masters.groupBy(_KEY).count().where(F.col("count") > part_size).select(_KEY)
-    numbered = number_within(matching(masters, large_keys, _KEY), [_KEY], [F.col("master_rowkey")], "__no")
+    large_keys = masters.groupBy(LOOKUP_KEY).count().where(F.col("count") > part_size).select(LOOKUP_KEY)
+    numbered = number_within(matching(masters, large_keys, LOOKUP_KEY), [LOOKUP_KEY], [F.col("master_rowkey")], "__no")
     part = F.call_function("div", F.col("__no") - 1, F.lit(part_size))
-    small = matching(masters, large_keys, _KEY, present=False).withColumn(_PART, F.lit(0).cast("bigint"))
+    small = matching(masters, large_keys, LOOKUP_KEY, present=False).withColumn(_PART, F.lit(0).cast("bigint"))
     return small.unionByName(numbered.withColumn(_PART, part).drop("__no"))
 
 
@@ -127,10 +127,10 @@ def lookup_doctors(visits: DataFrame, records: DataFrame, oid: str) -> DataFrame
         records.where(in_own_prefix_range("rowkey"))
         .groupBy("VISIT_ID", prefix_of("rowkey").alias("__prefix"))
         .agg(F.min(F.struct("rowkey", *DOCTOR_FIELDS)).alias("__first"))
-        .select(_pack(F.col("__prefix"), F.col("VISIT_ID")).alias(_KEY), *[F.col(f"__first.{f}") for f in DOCTOR_FIELDS])
+        .select(_pack(F.col("__prefix"), F.col("VISIT_ID")).alias(LOOKUP_KEY), *[F.col(f"__first.{f}") for f in DOCTOR_FIELDS])
     )
-    keyed = visits.withColumn(_KEY, _pack(rowkey_prefix("IN_PATIENT_ID", oid), F.col("VISIT_ID")))
-    return keyed.join(first, _KEY, "left").drop(_KEY)
+    keyed = visits.withColumn(LOOKUP_KEY, _pack(rowkey_prefix("IN_PATIENT_ID", oid), F.col("VISIT_ID")))
+    return keyed.join(first, LOOKUP_KEY, "left").drop(LOOKUP_KEY)
 
 
 def event_lab_join(events: DataFrame, labs: DataFrame) -> DataFrame:

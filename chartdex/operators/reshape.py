@@ -50,10 +50,10 @@ def to_kv_dedup(df: DataFrame, key: str, value: str, order: str | None = None) -
 
 def to_keyed_map(df: DataFrame, *columns: str, rowkey: str = ROWKEY) -> DataFrame:
     """(rowkey, record): the named cells plus the row key as a map."""
-    entries = [F.lit("rowkey"), F.col(rowkey).cast("string")]
-    for c in columns:
-        entries += [F.lit(c), cell_value(df, c)]
-    return df.select(F.col(rowkey).cast("string").alias("key"), F.create_map(*entries).alias("record"))
+    key = F.col(rowkey).cast("string")
+    cells = {"rowkey": key} | {c: cell_value(df, c) for c in columns}
+    entries = [e for name, cell in cells.items() for e in (F.lit(name), cell)]
+    return df.select(key.alias("key"), F.create_map(*entries).alias("record"))
 
 
 def to_renamed_map(df: DataFrame, mappings: dict[str, str], rowkey: str = ROWKEY) -> DataFrame:

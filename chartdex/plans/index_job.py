@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from chartdex.functions.keys import SEPARATOR, in_prefix_range, rowkey_prefix
 from chartdex.operators.filters import FilterSpec
-from chartdex.operators.lookups import _KEY, DOCUMENT_FIELDS, master_documents, routed_visits
+from chartdex.operators.lookups import DOCUMENT_FIELDS, LOOKUP_KEY, master_documents, routed_visits
 from chartdex.operators.tables import upsert_by_id
 from chartdex.sources.scans import scan_filtered
 from chartdex.sources.sinks import BATCH_SIZE, write_batched
@@ -31,7 +32,7 @@ def latest_visits(visits: DataFrame, oid: str) -> DataFrame:
         .agg(F.max(F.struct(number.alias("number"), F.col("VISIT_ID"))).alias("last"))
         .select("IN_PATIENT_ID", "VISIT_TYPE_CODE", "last.*")
     )
-    return routed_visits(last, oid).select(_KEY, "number", "VISIT_ID")
+    return routed_visits(last, oid).select(LOOKUP_KEY, "number", "VISIT_ID")
 
 
 def index_documents(visits: DataFrame, masters: DataFrame, oid: str) -> DataFrame:
@@ -40,7 +41,7 @@ def index_documents(visits: DataFrame, masters: DataFrame, oid: str) -> DataFram
     Where several documents share an id, that of the latest visit wins, then the
     smallest EID and row key.
     """
-    documents = latest_visits(visits, oid).join(masters, _KEY)
+    documents = latest_visits(visits, oid).join(masters, LOOKUP_KEY)
     newest_first = F.coalesce(-F.col("number"), F.lit(_LAST_NUMBER))
     document = F.struct(*DOCUMENT_FIELDS[1:]).alias("doc")
     winner = F.min(F.struct(newest_first, "EID", "master_rowkey", document))["doc"]
@@ -53,12 +54,14 @@ def patient_list_index(visits: DataFrame, patients: DataFrame, oid: str, patient
     Visits of a routed type are joined to the master rows of their patient and
     type; a visit of another type or without a master row gives no document.
     """
-    return index_documents(_wanted(visits, patient_id), master_documents(patients), oid)
-
-
-def _wanted(visits: DataFrame, patient_id: str | None) -> DataFrame:
-    one = [FilterSpec("IN_PATIENT_ID", "=", patient_id)] if patient_id and patient_id.strip() else []
-    return scan_filtered(visits, one, *VISIT_COLUMNS)
+    one: list[FilterSpec] = []
+    if patient_id and patient_id.strip():
+        one = [FilterSpec("IN_PATIENT_ID", "=", patient_id)]
+        # a constant key range, so a table sorted by row key is read only where the patient is
+        prefix = F.concat(rowkey_prefix(F.lit(patient_id), oid), F.lit(SEPARATOR))
+        patients = patients.where(in_prefix_range("rowkey", prefix))
+    wanted = scan_filtered(visits, one, *VISIT_COLUMNS)
+    return index_documents(wanted, master_documents(patients), oid)
 
 
 def save_masters(patients: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
@@ -66,7 +69,7 @@ def save_masters(patients: DataFrame, table: str, buckets: int, path: str | None
 
     A job over the stored table joins without shuffling the master side again.
     """
-    writer = master_documents(patients).write.mode("errorifexists").bucketBy(buckets, _KEY).sortBy(_KEY)
+    writer = master_documents(patients).write.mode("errorifexists").bucketBy(buckets, LOOKUP_KEY).sortBy(LOOKUP_KEY)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

@@ -106,7 +106,7 @@ def test_key_value_pairs(spark):
 
 def test_keyed_and_renamed_records(spark):
     rows = spark.createDataFrame([("r1", None, "O1", "x"), ("r2", "", None, None)], "rowkey string, IN_PATIENT_ID string, OUT_PATIENT_ID string, a string")
-    keyed = {r["key"]: r["record"] for r in reshape.to_keyed_map(rows, "a", "zz").collect()}
+    keyed = {r["key"]: r["record"] for r in reshape.to_keyed_map(rows, "a", "zz", "a").collect()}
     assert keyed == {"r1": {"rowkey": "r1", "a": "x", "zz": None}, "r2": {"rowkey": "r2", "a": None, "zz": None}}
     renamed = [tuple(r) for r in reshape.to_renamed_map(rows, {"b": "a"}).orderBy("rowkey").collect()]
     assert renamed == [("O1", "r1", "x"), (None, "r2", None)]

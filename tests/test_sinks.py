@@ -88,3 +88,19 @@ def test_stored_masters_join_without_a_shuffle(spark, sf_dir, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop table if exists masters")
+
+
+def test_one_patient_reads_only_their_key_range(spark, sf_dir, tmp_path):
+    from chartdex.plans import views
+    from chartdex.plans.index_job import patient_list_index
+
+    visits, path = views.visits(spark, sf_dir), str(tmp_path / "patients")
+    sinks.write_by_key(views.patients(spark, sf_dir), path)
+    docs = patient_list_index(visits, spark.read.parquet(path), views.OID, patient_id="00000012")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(rowkey,2100|1.2.156|00000012|)" in plan
+    whole = patient_list_index(visits, views.patients(spark, sf_dir), views.OID)
+    assert sorted(map(str, docs.collect())) == sorted(map(str, whole.where(F.col("IN_PATIENT_ID") == "00000012").collect()))
+    assert docs.count() > 0
