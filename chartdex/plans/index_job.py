@@ -42,7 +42,8 @@ def index_documents(visits: DataFrame, masters: DataFrame, oid: str) -> DataFram
     smallest EID and row key.
     """
     documents = latest_visits(visits, oid).join(masters, LOOKUP_KEY)
-    newest_first = F.coalesce(-F.col("number"), F.lit(_LAST_NUMBER))
+    # the complement orders numbers downwards without the overflow of a negation
+    newest_first = F.coalesce(F.bitwise_not("number"), F.lit(_LAST_NUMBER))
     document = F.struct(*DOCUMENT_FIELDS[1:]).alias("doc")
     winner = F.min(F.struct(newest_first, "EID", "master_rowkey", document))["doc"]
     return documents.groupBy("id").agg(winner.alias("doc")).select("id", "doc.*")

@@ -240,7 +240,7 @@ def test_index_job_edges(spark):
     ])
     visits = visit_list(spark, [
         ("v1", "0001", "9", "02"), ("v2", "0001", "10", "02"), ("v3", "0001", "1", "01"),
-        ("v4", "0002", "x", "01"), ("v5", "0002", "3", "01"), ("v6", "0002", "9", "03"), ("v7", "0002", "9", None), ("v8", "0404", "1", "02"),
+        ("v4", "0002", "x", "01"), ("v9", "0002", "-9223372036854775808", "01"), ("v5", "0002", "3", "01"), ("v6", "0002", "9", "03"), ("v7", "0002", "9", None), ("v8", "0404", "1", "02"),
     ])
     docs = {r["id"]: r for r in patient_list_index(visits, patients, "o").collect()}
     assert set(docs) == {"0001|02", "O2|01"}  # no outpatient number, no document
