@@ -2,9 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
+from chartdex.catalog import load
 
-QUERIES = entry_module.queries()
+QUERIES, _ = load()
 
 
 @pytest.fixture(autouse=True)

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from chartdex.catalog import load
 from tests.compare import problem
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = load()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
