@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartdex.llm import sharding
+from chartdex.llm import line_dedup, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,74 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+# DuckDB's regular expressions and ours agree on these classes
+_SPACE = r"\x20\x09-\x0D"
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TRIMMED = f"regexp_replace(regexp_replace(line, '^[{_SPACE}]+', ''), '[{_SPACE}]+$', '')"
+
+
+@_register(
+    "op1_line_dedup",
+    f"""
+    with lines as (
+        select doc_id, i, line, {_ASCII_LOWER.format(_TRIMMED)} as key
+        from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i, ls[i] as line
+              from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
+    frequent as (
+        select key from (select distinct doc_id, key from lines) where key <> '' group by key having count(*) >= 10),
+    marked as (select l.*, f.key is not null as lost from lines l left join frequent f using (key))
+    select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by i) filter (not lost), '')) as kept_sha256
+    from marked group by doc_id
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"), min_docs=10)
+    return kept.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+_RULE_SQL = {name: rule for name, rule in quality.RULES}
+
+
+@_register(
+    "op7_quality_rules",
+    f"""
+    with d as (
+        select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+') as w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^{_SPACE}]')) as ls
+        from documents),
+    windows as (
+        select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as c
+        from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d where len(w) >= 3)),
+    covered as (
+        select doc_id, count(distinct i + k) as n
+        from windows, (select unnest([0, 1, 2]) as k) where c > 1 group by doc_id),
+    m as (
+        select d.doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+               len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, len(ls) as n_lines,
+               len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(c.n, 0) as n_repeat_words,
+               len(list_filter(w, lambda x: not regexp_matches(x, '\\p{{L}}'))) as n_letterless
+        from d left join covered c using (doc_id)),
+    bits as (
+        select *, {" + ".join(f"(case when {rule} then {1 << i} else 0 end)" for i, (_, rule) in enumerate(quality.RULES))} as fail_bits
+        from m)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           fail_bits & {quality.BASE} <> 0 as base_failed, fail_bits & {quality.POLICIES["v1"]} = 0 as kept, fail_bits::bigint as fail_bits
+    from bits
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = quality.quality_ledger(_documents(spark, sf_dir).select("doc_id", "text"))
+    return ledger.select(
+        "doc.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        (~quality.passes("base")).alias("base_failed"),
+        quality.passes("v1").alias("kept"),
+        "fail_bits",
+    )

@@ -60,3 +60,13 @@ def row_key(*cols: Column) -> tuple[Column, Column]:
 def word_count(text: Column) -> Column:
     """Number of words as a long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+def let(value: Column, body) -> Column:
+    """``body`` applied to a value that is computed once per row, also if used inside lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def split_lines(text: Column) -> Column:
+    """The lines of a text; null or empty: one empty line."""
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
