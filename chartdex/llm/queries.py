@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartdex.llm import line_dedup, quality, sharding
+from chartdex.llm import line_dedup, mixing, packing, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.passes("v1").alias("kept"),
         "fail_bits",
     )
+
+
+@_register("op2_pareto_mix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(_documents(spark, sf_dir), weights=(1, 2, 3), max_repeat=3, share=1.0)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+@_register("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir))
