@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartdex.llm import line_dedup, mixing, packing, quality, sharding
+from chartdex.llm import line_dedup, mixing, near_dedup, packing, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op4_best_fit_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
+
+
+@_register("op5_minhash_forest")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=85)
