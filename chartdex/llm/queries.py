@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartdex.llm import line_dedup, mixing, near_dedup, packing, quality, sharding
+from chartdex.llm import line_dedup, mixing, near_dedup, packing, personal_data, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op5_minhash_forest")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=85)
+
+
+@_register("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(_documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal_data.BASE_KINDS))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in personal_data.BASE_KINDS],
+        F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
