@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartdex.llm import line_dedup, mixing, near_dedup, packing, personal_data, quality, sharding
+from chartdex.llm import line_dedup, lm_score, mixing, near_dedup, packing, personal_data, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -137,3 +137,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@_register("op9_deleted_interpolation")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(_documents(spark, sf_dir))
