@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartdex.llm import line_dedup, lm_score, mixing, near_dedup, packing, personal_data, quality, sharding
+from chartdex.llm import language_id, line_dedup, lm_score, mixing, near_dedup, packing, personal_data, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op9_deleted_interpolation")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(_documents(spark, sf_dir))
+
+
+@_register("op8_kneser_ney_languages")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(_documents(spark, sf_dir))
