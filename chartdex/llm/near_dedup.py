@@ -37,11 +37,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartdex.llm.components import _follow, components
-from chartdex.llm.shared import Workspace
+from chartdex.llm.shared import Workspace, row_key
 from chartdex.llm.words import mix64, words_by_text
 
 HASHES, WINDOW, MIN_DEPTH = 128, 8, 2
@@ -85,7 +85,8 @@ def minhash(found: np.ndarray) -> np.ndarray:
 
 
 def _signatures(size: int):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sig", pa.binary())])
+    names = ["id", "r1", "r2", "n", "s1", "s2"]
+    schema = pa.schema([*[(c, pa.int64()) for c in names], ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +98,8 @@ def _signatures(size: int):
                 n[i] = len(found)
                 s1[i], s2[i] = mix64(found ^ _ODD[1]).sum(), np.bitwise_xor.reduce(mix64(found + _ODD[2]))
                 sig[i] = minhash(found).tobytes()
-            columns = [batch.column(0), pa.array(n), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(sig, pa.binary())]
+            columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(n)]
+            columns += [pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(sig, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
@@ -307,11 +309,15 @@ def near_duplicates(
     forests: tuple[Forest, Forest] = (WIDE, DEEP),
     window: int = WINDOW,
 ) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept (the smallest id of its component)."""
+    """One row per document: id, n_shingles, component_id, kept (the smallest id of its component), r1, r2 (row key)."""
     work = Workspace(docs.sparkSession, "near")
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    r1, r2 = row_key(F.col(id_col), F.col(text_col))
+    texts = docs.select(
+        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), r1.alias("r1"), r2.alias("r2")
+    )
     signed = work.cut(
-        texts.mapInArrow(_signatures(shingle), "id bigint, n bigint, s1 bigint, s2 bigint, sig binary"), "signatures"
+        texts.mapInArrow(_signatures(shingle), "id bigint, r1 bigint, r2 bigint, n bigint, s1 bigint, s2 bigint, sig binary"),
+        "signatures",
     )
     classes = work.cut(
         signed.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("node"), F.min("n").alias("n"), F.min("sig").alias("sig")),
@@ -330,11 +336,23 @@ def near_duplicates(
     roots = linked_groups(work, deep, sets, percent, ("group", "rest"), "deep", roots)
     component = _follow(classes.select("s1", "s2", F.col("node").alias("component_id")), "component_id", roots)
     labels = work.cut(component, "labels")
-    joined = signed.select("id", "n", "s1", "s2").join(labels, ["s1", "s2"], "left")
+    joined = signed.select("id", "r1", "r2", "n", "s1", "s2").join(labels, ["s1", "s2"], "left")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return joined.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         component_id.alias("component_id"),
         F.col("id").eqNullSafe(component_id).alias("kept"),
+        "r1",
+        "r2",
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that are kept, with all their columns; a row repeated as a whole stays once."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    kept = found.where("kept").select("r1", "r2").distinct()
+    r1, r2 = row_key(F.col("doc")[id_col], F.col("doc")[text_col])
+    keyed = docs.select(F.struct("*").alias("doc")).select("doc", r1.alias("r1"), r2.alias("r2"))
+    twin = F.row_number().over(Window.partitionBy("r1", "r2").orderBy(F.col("doc")[id_col]))
+    return keyed.join(kept, ["r1", "r2"], "left_semi").withColumn("twin", twin).where("twin = 1").select("doc.*")

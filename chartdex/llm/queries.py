@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartdex.llm import language_id, line_dedup, lm_score, mixing, near_dedup, packing, personal_data, quality, sharding
+import corpus_pipeline
+from chartdex.llm import language_id, line_dedup, lm_score, mixing, near_dedup, nearest, packing, personal_data, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -117,7 +118,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op5_minhash_forest")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=85)
+    found = near_dedup.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @_register("op6_personal_data")
@@ -147,3 +149,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op8_kneser_ney_languages")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(_documents(spark, sf_dir))
+
+
+@_register("op3_balanced_posting_lists")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest_neighbours(vectors, F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
+@_register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
