@@ -68,10 +68,11 @@ class LineRuns:
 
     def add(self, batch: DataFrame) -> None:
         """Count a batch of distinct lines per document: a table (h1, h2)."""
+        counts = batch.groupBy("h1", "h2").agg(F.count("*").alias("n"))
         for run in self._all():
             known = run.where(F.col("n") >= self.min_docs).select("h1", "h2")
-            batch = batch.join(known.hint("merge"), ["h1", "h2"], "left_anti")
-        self._put(0, self._write(batch.groupBy("h1", "h2").agg(F.count("*").alias("n"))))
+            counts = counts.join(known.hint("merge"), ["h1", "h2"], "left_anti")
+        self._put(0, self._write(counts))
 
     def _put(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
