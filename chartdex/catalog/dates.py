@@ -211,3 +211,29 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return _age_texts(spark, sf_dir).withColumn("years", dates.age_text_to_years("txt"))
+
+
+
+@query(
+    "times_mixed",
+    """select o_orderkey, strftime(o_orderdate, '%Y%m%d%H%M%S') as parsed, 95 as minutes, 1 as hours, 95 as minute, 0 as years,
+       date_diff('day', o_orderdate::date, (o_orderdate + interval 95 minute)::date) as days from orders""",
+)
+def _(spark, sf_dir):
+    n, start = F.col("o_orderkey") % 3, F.col("o_orderdate")
+    end = start + F.expr("interval 95 minutes")
+
+    def text(t):
+        plain = F.date_format(t, dates.TIMESTAMP_FORMAT)
+        return F.when(n == 0, plain).when(n == 1, F.concat(plain, F.lit(".0"))).otherwise(F.date_format(t, "yyyy-M-d H:m:s"))
+
+    a, b = text(start), text(end)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        dates.format_ts_text(a, "yyyyMMddHHmmss").alias("parsed"),
+        dates.minutes_between(a, b).alias("minutes"),
+        dates.hours_between(a, b).alias("hours"),
+        dates.minute_between(a, b).alias("minute"),
+        dates.years_between(a, b).alias("years"),
+        dates.days_between(a, b).alias("days"),
+    )

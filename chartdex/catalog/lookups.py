@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chartdex.catalog.registry import query, table
 from chartdex.catalog.sql_views import PREFIX_OF_PATIENT, PREFIX_OF_ROWKEY, with_views
-from chartdex.functions import codes
+from chartdex.functions import codes, keys
 from chartdex.operators import aggregates, lookups
 from chartdex.plans import index_job, views
 
@@ -62,7 +62,7 @@ _LISTED = ["id", "EID", "IN_PATIENT_ID", "OUT_PATIENT_ID", "VISIT_ID", "OUT_NO",
     ),
 )
 def _(spark, sf_dir):
-    docs = lookups.multi_value_docs(*_tables(spark, sf_dir), views.OID)
+    docs = lookups.multi_value_docs(*_tables(spark, sf_dir), views.OID, part_size=1000)
     first = F.element_at("id", 1).alias("first_id")
     listed = [F.array_join(f, ";").alias(f) for f in _LISTED]
     return docs.select("visit_rowkey", "part", F.size("id").cast("bigint").alias("n_values"), first, *listed)
@@ -98,20 +98,30 @@ def _(spark, sf_dir):
     return lookups.lookup_doctors(views.visits(spark, sf_dir), views.visit_records(spark, sf_dir), views.OID)
 
 
-@query(
-    "patient_list_index",
-    with_views(
-        "patients visits",
-        f"""select id, EID, IN_PATIENT_ID, OUT_PATIENT_ID, VISIT_ID, INP_NO, OUT_NO, PERSON_NAME, SEX_CODE, SEX_NAME,
+_INDEX_SQL = with_views(
+    "patients visits",
+    f"""select id, EID, IN_PATIENT_ID, OUT_PATIENT_ID, VISIT_ID, INP_NO, OUT_NO, PERSON_NAME, SEX_CODE, SEX_NAME,
             ID_CARD_NO, HOME_PHONE, VISIT_TYPE_CODE, VISIT_TYPE_NAME, DATE_OF_BIRTH from (
             select d.*, row_number() over (partition by id order by cast(VISIT_ID as bigint) desc, EID, master_rowkey) as rn
             from ({_ALL_DOCUMENTS}) d) r where rn = 1""",
-    ),
 )
+
+
+@query("patient_list_index", _INDEX_SQL)
 def _(spark, sf_dir):
     return index_job.patient_list_index(*_tables(spark, sf_dir), views.OID)
 
 
+@query("patient_list_index_salt", _INDEX_SQL)
+def _(spark, sf_dir):
+    # masters whose keys are salted by the first three characters of the id
+    visits, patients = _tables(spark, sf_dir)
+    patient = F.split_part("rowkey", F.lit("|"), F.lit(3))
+    tail = F.substr("rowkey", F.instr("rowkey", "|"))
+    salted = patients.withColumn("rowkey", F.concat(keys.salt(patient, 0, 3), tail))
+    return index_job.patient_list_index(visits, salted, views.OID, salt_range=(0, 3))
+
+
 @query(
     "event_lab_join",
     with_views(

@@ -152,6 +152,19 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "search_index_all",
+    with_views(
+        "patients",
+        "select rowkey as id, EID, PERSON_NAME from patients where HOME_PHONE is not null and SEX_CODE = '1'",
+    ),
+)
+def _(spark, sf_dir):
+    index = views.patients(spark, sf_dir).withColumnRenamed("rowkey", "id")
+    effective = [FilterSpec("HOME_PHONE", "notnull"), FilterSpec("SEX_CODE", "=", "1")]
+    return scans.search_index(index, [effective], [F.col("PERSON_NAME").desc()], ["id", "EID", "PERSON_NAME"])
+
+
 @query(
     "search_index_text",
     """select doc_id as id, source, n_chars from documents where contains(text, 'ing') or contains(text, 'tion')

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from chartdex.catalog.registry import query, table
 from chartdex.catalog.sql_views import with_views
 from chartdex.operators import tables
 from chartdex.plans import views
+from chartdex.session import shared_folder
 from chartdex.sources import sinks
 
 _SPLIT = "2000-01-01 00:00:00"
@@ -62,6 +65,52 @@ def _(spark, sf_dir):
     return tables.partial_update(current, changes)
 
 
+@query(
+    "partial_update_latest",
+    """with cur as (select c_custkey as id, c_name, c_mktsegment as state from customer),
+       chg as (select o_custkey as id, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn,
+               nullif(o_orderstatus, 'P') as state, o_orderkey from orders),
+       tot as (select o_custkey as id, arg_max(o_totalprice, row(o_orderdate, o_orderkey)) as price from orders
+               where o_orderpriority = '1-URGENT' group by o_custkey)
+       select coalesce(cur.id, chg.id) as id, c_name, case when chg.id is not null then chg.state else cur.state end as state,
+       tot.price from cur full join (select * from chg where rn = 1) chg on cur.id = chg.id left join tot on tot.id = chg.id""",
+)
+def _(spark, sf_dir):
+    current = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name", F.col("c_mktsegment").alias("state"))
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    changes = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.nullif("o_orderstatus", F.lit("P")).alias("state"),
+        F.col("o_totalprice").alias("price"),
+        F.when(urgent, F.array(F.lit("state"), F.lit("price"))).otherwise(F.array(F.lit("state"))).alias("sets"),
+        "o_orderdate",
+        "o_orderkey",
+    )
+    return tables.partial_update(current, changes, order=["o_orderdate", "o_orderkey"], touched="sets")
+
+
+@query(
+    "put_nonblank_latest",
+    """with chg as (select o_custkey as rowkey,
+         arg_max(a, row(o_orderdate, o_orderkey)) filter (a <> '') as c_name,
+         arg_max(b, row(o_orderdate, o_orderkey)) filter (trim(b) <> '') as c_mktsegment
+         from (select *, case when o_orderstatus = 'F' then o_orderpriority else '' end as a,
+                         case when o_totalprice > 200000 then ' ' else o_orderstatus end as b from orders) o group by o_custkey)
+       select coalesce(c_custkey, chg.rowkey) as rowkey, coalesce(chg.c_name, c.c_name) as c_name,
+       coalesce(chg.c_mktsegment, c.c_mktsegment) as c_mktsegment from customer c full join chg on c_custkey = chg.rowkey""",
+)
+def _(spark, sf_dir):
+    changes = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("rowkey"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).otherwise("").alias("c_name"),
+        F.when(F.col("o_totalprice") > 200000, " ").otherwise(F.col("o_orderstatus")).alias("c_mktsegment"),
+        "o_orderdate",
+        "o_orderkey",
+    )
+    current = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("rowkey"), "c_name", "c_mktsegment")
+    return tables.put_nonblank(current, changes, order=["o_orderdate", "o_orderkey"])
+
+
 @query(
     "delete_by_key",
     with_views(
@@ -128,9 +177,8 @@ def _(spark, sf_dir):
         "l_shipdate",
         "l_orderkey",
     )
-    changes = tables.collapse_cells(puts, "rowkey", ["l_shipdate", "l_orderkey"])
     current = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("rowkey"), "s_name")
-    return tables.put_cells(current, changes)
+    return tables.put_cells(current, puts, order=["l_shipdate", "l_orderkey"])
 
 
 def _blank_changes(spark, sf_dir):
@@ -197,8 +245,9 @@ def _append_children(spark, sf_dir, view, append):
     keyed = tables.assign_event_keys(stored, new, ["monitor_time", "visit_id"])
     rows = view(spark, sf_dir)
     current = rows.join(stored.select("pk_event_id"), "pk_event_id", "left_semi")
-    incoming = rows.withColumn("visit_id", (F.col("pk_event_id") - 1).cast("string")).drop("pk_event_id")
-    return append(current, incoming, keyed, ["visit_id"])
+    later = rows.join(stored.select("pk_event_id"), "pk_event_id", "left_anti")
+    incoming = later.withColumn("visit_id", (F.col("pk_event_id") - 1).cast("string")).drop("pk_event_id")
+    return append(current, tables.with_event_keys(incoming, keyed, ["visit_id"]))
 
 
 @query("append_labinfo", _append_children_sql("adr_labinfo", tables.LABINFO_COLUMNS))
@@ -211,6 +260,48 @@ def _(spark, sf_dir):
     return _append_children(spark, sf_dir, views.adr_drug, tables.append_drugs)
 
 
+_CHILD_KEYS = """children as (select l.*, case when l.pk_event_id % 5 = 0 then 'none' when l.pk_event_id % 5 = 1 then null
+       else cast(l.pk_event_id - 1 as varchar) end as natural_id from adr_labinfo l),
+  named as (select pk_event_id, case when pk_event_id = 2 then null else visit_id end as natural_id from adr_event)"""
+
+
+def _named_children(spark, sf_dir):
+    """Lab rows that name their event by its visit: some name none, some the one without a visit."""
+    n = F.col("pk_event_id")
+    name = F.when(n % 5 == 0, "none").when(n % 5 != 1, (n - 1).cast("string"))
+    children = views.adr_labinfo(spark, sf_dir).withColumn("natural_id", name).drop("pk_event_id")
+    events = views.adr_event(spark, sf_dir).select("pk_event_id", F.when(n != 2, F.col("visit_id")).alias("natural_id"))
+    return tables.with_event_keys(children, events, ["natural_id"])
+
+
+@query(
+    "append_children_null_key",
+    with_views(
+        "adr_event adr_labinfo",
+        """select n.pk_event_id, c.order_no, c.order_item_code from children c join named n on c.natural_id is not distinct from n.natural_id""",
+        _CHILD_KEYS,
+    ),
+)
+def _(spark, sf_dir):
+    keyed = _named_children(spark, sf_dir)
+    stored = views.adr_labinfo(spark, sf_dir).limit(0)
+    added = tables.append_labinfo(stored, keyed.where(F.col("pk_event_id").isNotNull()))
+    return added.select("pk_event_id", "order_no", "order_item_code")
+
+
+@query(
+    "append_children_unmatched",
+    with_views(
+        "adr_event adr_labinfo",
+        """select c.natural_id, c.order_no, c.order_item_code from children c
+           where not exists (select 1 from named n where c.natural_id is not distinct from n.natural_id)""",
+        _CHILD_KEYS,
+    ),
+)
+def _(spark, sf_dir):
+    return tables.without_event(_named_children(spark, sf_dir)).select("natural_id", "order_no", "order_item_code")
+
+
 _ORDERED = """ordered as (select patient_id, visit_id, order_no, order_item_code, lab_result_value, monitor_time
   from adr_event e join adr_labinfo l on e.pk_event_id = l.pk_event_id)"""
 
@@ -236,6 +327,28 @@ def _(spark, sf_dir):
     return tables.append_idempotent(stored, incoming, ["order_item_code", "lab_result_value"])
 
 
+@query(
+    "append_idempotent_null",
+    """with o as (select case when o_orderkey % 3 = 0 then null else o_custkey end as patient_id, o_orderstatus as visit_id,
+         nullif(o_orderpriority, '5-LOW') as order_no, o_orderkey from orders),
+       stored as (select * from o where o_orderkey % 2 = 0)
+       select * from stored union all select patient_id, visit_id, order_no, o_orderkey from (
+         select *, row_number() over (partition by patient_id, visit_id, order_no order by o_orderkey) as rn from o) f
+       where rn = 1 and not exists (select 1 from stored s where s.patient_id is not distinct from f.patient_id
+         and s.visit_id is not distinct from f.visit_id and s.order_no is not distinct from f.order_no)""",
+)
+def _(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("patient_id"),
+        F.col("o_orderstatus").alias("visit_id"),
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("order_no"),
+        "o_orderkey",
+    )
+    once = tables.append_idempotent(rows.where(F.col("o_orderkey") % 2 == 0), rows, ["o_orderkey"])
+    return tables.append_idempotent(once, rows, ["o_orderkey"])
+
+
 def _debtors():
     # a missing segment makes the condition null for some rows
     return (F.col("c_acctbal") < 0) & (F.nullif("c_mktsegment", F.lit("BUILDING")) != "MACHINERY")
@@ -265,8 +378,20 @@ def _(spark, sf_dir):
     return tables.delete_where(table(spark, sf_dir, "customer"), _debtors()).select("c_custkey", "c_name")
 
 
+@query("write_batched", "select count(*) as docs, count(distinct o_orderkey) as ids, true as within_size from orders")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    path = f"{shared_folder(spark)}/batches-{uuid.uuid4().hex}"
+    sinks.write_batch_files(docs, path)
+    per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("file"))
+    files = per_file.agg(F.count(F.lit(1)).alias("docs"), F.countDistinct("o_orderkey").alias("ids"))
+    return files.agg(
+        F.sum("docs").alias("docs"), F.sum("ids").alias("ids"), (F.max("docs") <= sinks.BATCH_SIZE).alias("within_size")
+    )
+
+
 @query(
-    "write_batched",
+    "number_batches",
     """select batch_no, count(*) as docs, min(o_orderkey) as first_key, max(o_orderkey) as last_key from (
        select o_orderkey, (row_number() over (order by o_orderkey) - 1) // 1000 as batch_no from orders) t group by batch_no""",
 )

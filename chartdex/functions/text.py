@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartdex.functions.blank import as_column, is_blank, not_blank
 
@@ -87,17 +88,18 @@ def split_map(value, item_separator: str, kv_separator: str) -> Column:
     c = as_column(value)
     entries = F.transform(
         F.filter(F.split(c, _literal_pattern(item_separator)), lambda item: item.contains(kv_separator)),
-        lambda item: F.struct(
+        lambda item, i: F.struct(
             F.split_part(item, F.lit(kv_separator), F.lit(1)).alias("key"),
+            i.alias("place"),
             F.split_part(item, F.lit(kv_separator), F.lit(2)).alias("value"),
         ),
     )
-    keys = F.transform(entries, lambda e: e["key"])
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
-    )
-    return F.map_from_entries(last)
+    # sorted by key and place, an entry is the last of its key where another key follows
+    ordered = F.sort_array(entries)
+    followers = F.slice(ordered, F.lit(2), F.greatest(F.size(ordered), F.lit(1)))
+    marked = F.zip_with(ordered, followers, lambda e, f: F.when(f.isNull() | (f["key"] != e["key"]), e))
+    by_place = F.sort_array(F.transform(F.array_compact(marked), lambda e: F.struct(e["place"], e["key"], e["value"])))
+    return F.map_from_entries(F.transform(by_place, lambda e: F.struct(e["key"], e["value"])))
 
 
 def list_to_string(values, separator: str) -> Column:
@@ -120,8 +122,27 @@ def json_to_rows(value, element_schema: str) -> Column:
     return F.from_json(as_column(value), f"array<struct<{element_schema}>>")
 
 
-def rows_to_json(value) -> Column:
-    """A record, list or map as JSON with its nulls written out; null becomes ``{}``."""
+def without_fields(value, kind: T.DataType, excluded: Sequence[str] = JSON_EXCLUDED) -> Column:
+    """A value of a known type without the excluded fields, or map keys, at every level."""
+    c = as_column(value)
+    if isinstance(kind, T.StructType):
+        kept = [without_fields(c[f.name], f.dataType, excluded).alias(f.name) for f in kind if f.name not in excluded]
+        return F.when(c.isNotNull(), F.struct(*kept)) if kept else F.when(c.isNotNull(), F.create_map().cast("map<string,string>"))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: without_fields(x, kind.elementType, excluded))
+    if isinstance(kind, T.MapType):
+        named = F.map_filter(c, lambda k, _: ~k.cast("string").isin(list(excluded)))
+        return F.transform_values(named, lambda _, v: without_fields(v, kind.valueType, excluded))
+    return c
+
+
+def rows_to_json(value, kind: T.DataType | None = None, excluded: Sequence[str] = JSON_EXCLUDED) -> Column:
+    """A record, list or map as JSON with its nulls written out; null becomes ``{}``.
+
+    With its type given, the excluded fields are left out at every level.
+    """
+    if kind is not None:
+        value = without_fields(value, kind, excluded)
     options = {"ignoreNullFields": "false", "timestampFormat": JSON_TIMESTAMP_FORMAT, "timestampNTZFormat": JSON_TIMESTAMP_FORMAT}
     return F.coalesce(F.to_json(as_column(value), options), F.lit("{}"))
 

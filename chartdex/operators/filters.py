@@ -7,9 +7,11 @@ Filters on text columns carry no cast, so they reach the Parquet scan.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,6 +46,29 @@ VALUE_TYPES = {
 }
 
 
+_INT_BITS = {"SHORT": 16, "INT": 32, "LONG": 64}
+
+
+def _check_literal(kind: str, value: object) -> None:
+    """Raise where a literal is no value of its type; a comparison with it would drop every row."""
+    text = str(value).strip()
+    try:
+        if kind in _INT_BITS:
+            if not -(1 << (_INT_BITS[kind] - 1)) <= int(text) < 1 << (_INT_BITS[kind] - 1):
+                raise ValueError("out of range")
+        elif kind == "DOUBLE":
+            float(text)
+        elif kind == "BIGDECIMAL":
+            if not Decimal(text).is_finite():
+                raise ValueError("not finite")
+        elif kind == "BOOL" and text.lower() not in ("true", "false"):
+            raise ValueError("neither true nor false")
+        elif kind == "DATE" and not isinstance(value, dt.date):
+            dt.datetime.fromisoformat(text)
+    except (ValueError, InvalidOperation) as e:
+        raise ValueError(f"filter value {value!r} is no {kind}") from e
+
+
 @dataclass(frozen=True)
 class FilterSpec:
     """``name op value``; list operators take comma-separated values.
@@ -63,6 +88,8 @@ class FilterSpec:
             raise ValueError(f"unknown filter operator {self.op!r}")
         if self.type not in VALUE_TYPES:
             raise ValueError(f"unknown filter value type {self.type!r}")
+        if self.op in COMPARISONS and VALUE_TYPES[self.type] != "string":
+            _check_literal(self.type, self.value)
 
     def parts(self) -> list[str]:
         """Comma-separated values; empty ones at the end do not count."""

@@ -21,6 +21,12 @@ def join_by(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Dat
     return left.withColumn(_KEY, packed).join(right.select(packed, *others), _KEY, how).drop(_KEY)
 
 
-def matching(left: DataFrame, keys: DataFrame, key: str, present: bool = True) -> DataFrame:
-    """Rows whose key is, or is not, in a key table; a null key is in no table."""
-    return join_by(left, keys.where(F.col(key).isNotNull()).select(key), [key], "left_semi" if present else "left_anti")
+def matching(left: DataFrame, keys: DataFrame, key: str, present: bool = True, aggregated: bool = False) -> DataFrame:
+    """Rows whose key is, or is not, in a key table; a null key is in no table.
+
+    The join runs on the plain column, which keeps bucketing and runtime filters of
+    stored tables; ``aggregated`` packs it, for keys that were aggregated by it.
+    """
+    how = "left_semi" if present else "left_anti"
+    known = keys.where(F.col(key).isNotNull()).select(key)
+    return join_by(left, known, [key], how) if aggregated else left.join(known, key, how)

@@ -4,7 +4,9 @@ A lookup by key prefix is an equi-join on the ``salt|oid|id`` part of the row ke
 Where a side is aggregated first, the join runs on one packed text key instead of
 on the grouping columns: both sides then enter the join straight from a shuffle,
 which is what adaptive execution needs to split a frequent key over several tasks.
-Patient ids must not contain the key separator.
+``salt_range`` names the slice of the patient id that stored row keys are salted with.
+A patient id that contains the key separator fails the query, as its key prefix cannot
+be told from that of another patient.
 """
 
 from __future__ import annotations
@@ -15,10 +17,10 @@ from pyspark.sql import functions as F
 from chartdex.functions.blank import as_column
 from chartdex.functions.codes import INPATIENT_CODE, OUTPATIENT_CODE, PROVINCES
 from chartdex.functions.keys import SEPARATOR, in_own_prefix_range, prefix_of, rowkey_prefix
-from chartdex.operators.joins import matching
 from chartdex.operators.numbering import number_within
 
 LOOKUP_KEY, _PART = "lookup_key", "part"
+SALT_RANGE = (-4, 0)
 
 # Fields of an index document; outpatient documents leave the type fields out.
 DOCUMENT_FIELDS = [
@@ -38,10 +40,20 @@ def _pack(*parts: Column) -> Column:
     return F.concat(*columns[1:])
 
 
-def routed_visits(visits: DataFrame, oid: str, codes: list[str] = ROUTED_CODES) -> DataFrame:
+def _patient_prefix(oid: str, salt_range: tuple[int, int]) -> Column:
+    """The key prefix of a visit's patient."""
+    patient = F.col("IN_PATIENT_ID")
+    bad = patient.contains(SEPARATOR)
+    checked = F.when(bad, F.raise_error(F.concat(F.lit("separator in patient id "), patient))).otherwise(patient)
+    return rowkey_prefix(checked, oid, *salt_range)
+
+
+def routed_visits(
+    visits: DataFrame, oid: str, codes: list[str] = ROUTED_CODES, salt_range: tuple[int, int] = SALT_RANGE
+) -> DataFrame:
     """Visits of the given types with the key of their master rows; other types give no document."""
     code = F.col("VISIT_TYPE_CODE")
-    return visits.where(code.isin(codes)).withColumn(LOOKUP_KEY, _pack(rowkey_prefix("IN_PATIENT_ID", oid), code))
+    return visits.where(code.isin(codes)).withColumn(LOOKUP_KEY, _pack(_patient_prefix(oid, salt_range), code))
 
 
 def master_documents(patients: DataFrame, codes: list[str] = ROUTED_CODES) -> DataFrame:
@@ -71,38 +83,56 @@ def master_documents(patients: DataFrame, codes: list[str] = ROUTED_CODES) -> Da
     )
 
 
-def lookup_documents(visits: DataFrame, patients: DataFrame, oid: str, codes: list[str] = ROUTED_CODES) -> DataFrame:
+def lookup_documents(
+    visits: DataFrame,
+    patients: DataFrame,
+    oid: str,
+    codes: list[str] = ROUTED_CODES,
+    salt_range: tuple[int, int] = SALT_RANGE,
+) -> DataFrame:
     """One document per visit and matching master row; the EID is the master row's."""
-    keyed = routed_visits(visits, oid, codes).select(LOOKUP_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
+    keyed = routed_visits(visits, oid, codes, salt_range).select(LOOKUP_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
     found = keyed.join(master_documents(patients, codes), LOOKUP_KEY)
     return found.select("visit_rowkey", "master_rowkey", *DOCUMENT_FIELDS)
 
 
-def lookup_inpatient(visits: DataFrame, patients: DataFrame, oid: str) -> DataFrame:
-    return lookup_documents(visits, patients, oid, [INPATIENT_CODE])
+def lookup_inpatient(
+    visits: DataFrame, patients: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE
+) -> DataFrame:
+    return lookup_documents(visits, patients, oid, [INPATIENT_CODE], salt_range)
 
 
-def lookup_outpatient(visits: DataFrame, patients: DataFrame, oid: str) -> DataFrame:
-    found = lookup_documents(visits, patients, oid, [OUTPATIENT_CODE])
+def lookup_outpatient(
+    visits: DataFrame, patients: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE
+) -> DataFrame:
+    found = lookup_documents(visits, patients, oid, [OUTPATIENT_CODE], salt_range)
     return found.drop(*INPATIENT_ONLY_FIELDS)
 
 
-def route_by_type(visits: DataFrame, patients: DataFrame, oid: str) -> DataFrame:
-    """Documents of both routed types in one pass over visits and patients."""
-    return lookup_documents(visits, patients, oid)
+def route_by_type(
+    visits: DataFrame, patients: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE
+) -> DataFrame:
+    """Documents of both routed types in one pass over visits and patients.
 
+    This is also the main form of a document with several values: one row per visit and
+    master, in the order of ``master_rowkey``, however many masters there are.
+    """
+    return lookup_documents(visits, patients, oid, salt_range=salt_range)
 
-def multi_value_docs(visits: DataFrame, patients: DataFrame, oid: str, part_size: int = 1000) -> DataFrame:
-    """One document per visit whose fields list the values of all its master rows in key order.
 
-    A document of more than ``part_size`` values continues in further rows with
-    ``part`` 1, 2, …, so no list grows without bound and no value is left out.
+def multi_value_docs(
+    visits: DataFrame, patients: DataFrame, oid: str, part_size: int, salt_range: tuple[int, int] = SALT_RANGE
+) -> DataFrame:
+    """Documents of ``route_by_type`` with their values in lists, in key order.
+
+    Part ``p`` of a visit lists its values ``p * part_size`` to ``(p + 1) * part_size``,
+    so the caller bounds the lists and no value is left out.
     """
     fields = [f for f in DOCUMENT_FIELDS if f != "VISIT_ID"]
     values = F.sort_array(F.collect_list(F.struct("master_rowkey", *fields)))
     parted = _in_parts(master_documents(patients), part_size)
     parts = parted.groupBy(LOOKUP_KEY, _PART).agg(values.alias("__values"))
-    keyed = routed_visits(visits, oid).select(LOOKUP_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
+    keyed = routed_visits(visits, oid, salt_range=salt_range).select(LOOKUP_KEY, F.col("rowkey").alias("visit_rowkey"), "VISIT_ID")
     joined = keyed.join(parts, LOOKUP_KEY)
     lists = {f: F.col(f"__values.{f}") for f in fields}
     lists["VISIT_ID"] = F.array_repeat("VISIT_ID", F.size("__values"))
@@ -110,18 +140,14 @@ def multi_value_docs(visits: DataFrame, patients: DataFrame, oid: str, part_size
 
 
 def _in_parts(masters: DataFrame, part_size: int) -> DataFrame:
-    """Give master documents their part: 0, or by position where a key has more than ``part_size``.
-
-    Only the rows of such large keys are put in order and numbered.
-    """
-    large_keys = masters.groupBy(LOOKUP_KEY).count().where(F.col("count") > part_size).select(LOOKUP_KEY)
-    numbered = number_within(matching(masters, large_keys, LOOKUP_KEY), [LOOKUP_KEY], [F.col("master_rowkey")], "__no")
-    part = F.call_function("div", F.col("__no") - 1, F.lit(part_size))
-    small = matching(masters, large_keys, LOOKUP_KEY, present=False).withColumn(_PART, F.lit(0).cast("bigint"))
-    return small.unionByName(numbered.withColumn(_PART, part).drop("__no"))
+    """Give every master document its part, by its position among those of its key."""
+    numbered = number_within(masters, [LOOKUP_KEY], [F.col("master_rowkey")], "__no")
+    return numbered.withColumn(_PART, F.call_function("div", F.col("__no") - 1, F.lit(part_size))).drop("__no")
 
 
-def lookup_doctors(visits: DataFrame, records: DataFrame, oid: str) -> DataFrame:
+def lookup_doctors(
+    visits: DataFrame, records: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE
+) -> DataFrame:
     """Add the doctors of the first visit record, by row key, of each visit; null where there is none."""
     first = (
         records.where(in_own_prefix_range("rowkey"))
@@ -129,7 +155,7 @@ def lookup_doctors(visits: DataFrame, records: DataFrame, oid: str) -> DataFrame
         .agg(F.min(F.struct("rowkey", *DOCTOR_FIELDS)).alias("__first"))
         .select(_pack(F.col("__prefix"), F.col("VISIT_ID")).alias(LOOKUP_KEY), *[F.col(f"__first.{f}") for f in DOCTOR_FIELDS])
     )
-    keyed = visits.withColumn(LOOKUP_KEY, _pack(rowkey_prefix("IN_PATIENT_ID", oid), F.col("VISIT_ID")))
+    keyed = visits.withColumn(LOOKUP_KEY, _pack(_patient_prefix(oid, salt_range), F.col("VISIT_ID")))
     return keyed.join(first, LOOKUP_KEY, "left").drop(LOOKUP_KEY)
 
 
@@ -152,20 +178,17 @@ def exists_count(keys: DataFrame, events: DataFrame, labs: DataFrame) -> DataFra
     return keys.select(*key).distinct().join(stored, key, "left").select(*key, F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
-def _dimension(df: DataFrame, pairs: dict[str, str], key: str, value: str) -> DataFrame:
-    """A fixed code list as a table; its size is that of the list, so it is safe to broadcast."""
-    rows = df.sparkSession.createDataFrame(list(pairs.items()), f"{key} string, {value} string")
-    return F.broadcast(rows)
-
-
 def province_by_id(df: DataFrame, id_card: str, out: str = "province") -> DataFrame:
     """Province of an identity card number by its first two digits; null for an unknown prefix."""
-    dimension = _dimension(df, PROVINCES, "__prefix", out)
-    return df.join(dimension, F.substring(id_card, 1, 2) == F.col("__prefix"), "left").drop("__prefix")
+    names = F.create_map(*[F.lit(x) for pair in PROVINCES.items() for x in pair])
+    return df.withColumn(out, F.try_element_at(names, F.substring(id_card, 1, 2)))
 
 
 def enum_label(df: DataFrame, code, labels: list[tuple[str, str]], out: str = "label") -> DataFrame:
-    """Label of a code from a code list; the last of a repeated code wins, an unknown code gives ''."""
-    dimension = _dimension(df, dict(labels), "__code", "__label")
+    """Label of a code from a code list; the last of a repeated code wins, an unknown code gives ''.
+
+    The optimizer decides how to join the list, by its size.
+    """
+    dimension = df.sparkSession.createDataFrame(list(dict(labels).items()), "__code string, __label string")
     joined = df.join(dimension, as_column(code).cast("string") == F.col("__code"), "left")
     return joined.withColumn(out, F.coalesce("__label", F.lit(""))).drop("__code", "__label")

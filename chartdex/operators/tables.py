@@ -8,11 +8,13 @@ joins below see unique keys on both sides and no key can grow a task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartdex.functions.blank import not_blank
-from chartdex.operators.joins import matching
+from chartdex.operators.joins import join_by, matching
 from chartdex.operators.numbering import number_rows
 
 _OLD, _NEW, _ROW = "__old", "__new", "__row"
@@ -45,51 +47,66 @@ def _ranked(order: list[str], columns: list[str]) -> Column:
     return F.struct(*order, F.struct(*columns).alias(_ROW))
 
 
+def _required(key: str) -> Column:
+    """The key column; a row without a key fails the query, as a table of keys cannot hold it."""
+    return F.when(F.col(key).isNull(), F.raise_error(F.lit(f"a row has no {key}"))).otherwise(F.col(key)).alias(key)
+
+
 def upsert_by_id(current: DataFrame, incoming: DataFrame, order: list[str], key: str = "id") -> DataFrame:
     """Insert or replace whole rows; among incoming rows of one key the latest wins."""
     newest = F.max(_ranked(order, current.columns))[_ROW]
-    new = incoming.groupBy(key).agg(newest.alias(_NEW))
+    new = incoming.withColumn(key, _required(key)).groupBy(key).agg(newest.alias(_NEW))
     old = current.select(key, F.struct(*current.columns).alias(_OLD))
     return old.join(new, key, "full_outer").select(F.coalesce(_NEW, _OLD).alias(_NEW)).select(f"{_NEW}.*")
 
 
-def partial_update(current: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
+def partial_update(
+    current: DataFrame, changes: DataFrame, key: str = "id", order: Sequence[str] = (), touched: str | None = None
+) -> DataFrame:
     """Set the columns of the change table for its ids, null included; other columns stay.
 
-    An id that is not stored yet becomes a row with only the set fields. Expects
-    one change per id.
+    An id that is not stored yet becomes a row with only the set fields. Several changes
+    of one id count in the given order, field by field. ``touched`` names an array column
+    with the fields that a change sets; without it, each change sets all of them.
     """
-    fields = [c for c in changes.columns if c != key]
-    new = changes.select(F.col(key), F.struct(*fields).alias(_NEW))
+    fields = [c for c in changes.columns if c not in (key, touched, *order)]
+
+    def latest(c: str) -> Column:
+        change = F.struct(*order, F.col(c).alias("value"))
+        return F.max(change if touched is None else F.when(F.array_contains(touched, c), change)).alias(c)
+
+    folded = changes.withColumn(key, _required(key)).groupBy(key).agg(*[latest(c) for c in fields])
+    new = folded.select(F.col(key), F.struct(*fields).alias(_NEW))
     old = current.select(F.col(key), F.struct(*[c for c in current.columns if c != key]).alias(_OLD))
-    changed = F.col(_NEW).isNotNull()
 
     def merged(c: str) -> Column:
         if c not in fields:
             return F.col(f"{_OLD}.{c}").alias(c)
+        change = F.col(f"{_NEW}.{c}")
         if c not in current.columns:
-            return F.col(f"{_NEW}.{c}").alias(c)
-        return F.when(changed, F.col(f"{_NEW}.{c}")).otherwise(F.col(f"{_OLD}.{c}")).alias(c)
+            return change["value"].alias(c)
+        return F.when(change.isNotNull(), change["value"]).otherwise(F.col(f"{_OLD}.{c}")).alias(c)
 
     rest = [c for c in current.columns if c != key] + [c for c in fields if c not in current.columns]
     return old.join(new, key, "full_outer").select(key, *[merged(c) for c in rest])
 
 
-def collapse_cells(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
+def collapse_cells(changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Per key and column, the latest non-null cell of several puts."""
     cells = [
         F.max(F.when(F.col(c).isNotNull(), F.struct(*order, c)))[c].alias(c)
         for c in changes.columns
         if c != key and c not in order
     ]
-    return changes.groupBy(key).agg(*cells)
+    return changes.withColumn(key, _required(key)).groupBy(key).agg(*cells)
 
 
-def put_cells(current: DataFrame, changes: DataFrame, key: str = "rowkey") -> DataFrame:
+def put_cells(current: DataFrame, changes: DataFrame, key: str = "rowkey", order: Sequence[str] = ()) -> DataFrame:
     """Overwrite cells by the non-null cells of the change rows; null leaves the stored cell.
 
-    Expects one change row per key; see ``collapse_cells`` for several puts.
+    Of several puts of one key the latest non-null cell counts, in the given order.
     """
+    changes = collapse_cells(changes, key, order)
     fields = [c for c in changes.columns if c != key]
     columns = [c for c in current.columns if c != key] + [c for c in fields if c not in current.columns]
     old, new = current.alias("old"), changes.alias("new")
@@ -103,18 +120,18 @@ def put_cells(current: DataFrame, changes: DataFrame, key: str = "rowkey") -> Da
     return old.join(new, key, "full_outer").select(key, *[merged(c) for c in columns])
 
 
-def nonblank_cells(changes: DataFrame, key: str = "rowkey") -> DataFrame:
+def nonblank_cells(changes: DataFrame, key: str = "rowkey", order: Sequence[str] = ()) -> DataFrame:
     """Blank cells as null, plus ``cells_written``, the number of cells that remain."""
-    fields = [c for c in changes.columns if c != key]
+    fields = [c for c in changes.columns if c != key and c not in order]
     written = sum([not_blank(c).cast("bigint") for c in fields], F.lit(0).cast("bigint"))
     return changes.select(
-        key, *[F.when(not_blank(c), F.col(c)).alias(c) for c in fields], written.alias("cells_written")
+        key, *order, *[F.when(not_blank(c), F.col(c)).alias(c) for c in fields], written.alias("cells_written")
     )
 
 
-def put_nonblank(current: DataFrame, changes: DataFrame, key: str = "rowkey") -> DataFrame:
+def put_nonblank(current: DataFrame, changes: DataFrame, key: str = "rowkey", order: Sequence[str] = ()) -> DataFrame:
     """As ``put_cells``, where a blank cell also leaves the stored one."""
-    return put_cells(current, nonblank_cells(changes, key).drop("cells_written"), key)
+    return put_cells(current, nonblank_cells(changes, key, order).drop("cells_written"), key, order)
 
 
 def delete_by_key(current: DataFrame, keys: DataFrame, key: str = "EID") -> DataFrame:
@@ -140,31 +157,48 @@ def assign_event_keys(current: DataFrame, new_events: DataFrame, order: list[str
     return numbered.select(EVENT_KEY, *EVENT_COLUMNS)
 
 
-def append_children(
-    current: DataFrame, new_rows: DataFrame, keyed_events: DataFrame, natural_key: list[str]
-) -> DataFrame:
-    """Append child rows under the generated key of their event.
+def with_event_keys(new_rows: DataFrame, events: DataFrame, natural_key: list[str]) -> DataFrame:
+    """Child rows with the key of their event, stored earlier or new, found by its natural key.
 
-    ``new_rows`` carries the event's natural key instead of the generated one.
+    Two nulls are equal. A row without an event has no key; a natural key that several
+    events share fails the query, as it names none of them.
     """
-    keys = keyed_events.select(EVENT_KEY, *natural_key)
-    return current.unionByName(new_rows.join(keys, natural_key).select(*current.columns))
+    several = F.raise_error(F.concat(F.lit("several events share "), F.to_json(F.struct(*natural_key))))
+    one = F.when(F.min(EVENT_KEY) == F.max(EVENT_KEY), F.min(EVENT_KEY)).otherwise(several.cast("bigint"))
+    keys = events.groupBy(*natural_key).agg(one.alias(EVENT_KEY))
+    return join_by(new_rows.drop(EVENT_KEY), keys, natural_key, "left")
 
 
-def append_labinfo(current: DataFrame, new_rows: DataFrame, keyed_events: DataFrame, natural_key: list[str]) -> DataFrame:
-    return append_children(current.select(*LABINFO_COLUMNS), new_rows, keyed_events, natural_key)
+def without_event(keyed_rows: DataFrame) -> DataFrame:
+    """Child rows for which ``with_event_keys`` found no event."""
+    return keyed_rows.where(F.col(EVENT_KEY).isNull())
 
 
-def append_drugs(current: DataFrame, new_rows: DataFrame, keyed_events: DataFrame, natural_key: list[str]) -> DataFrame:
-    return append_children(current.select(*DRUG_COLUMNS), new_rows, keyed_events, natural_key)
+def append_children(current: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """Append child rows under the event key they carry; one without a key fails the query.
+
+    Take such rows out by ``without_event`` first where they are to be expected.
+    """
+    return current.unionByName(new_rows.withColumn(EVENT_KEY, _required(EVENT_KEY)).select(*current.columns))
+
+
+def append_labinfo(current: DataFrame, new_rows: DataFrame) -> DataFrame:
+    return append_children(current.select(*LABINFO_COLUMNS), new_rows)
+
+
+def append_drugs(current: DataFrame, new_rows: DataFrame) -> DataFrame:
+    return append_children(current.select(*DRUG_COLUMNS), new_rows)
 
 
 def append_idempotent(current: DataFrame, incoming: DataFrame, order: list[str], keys: list[str] = DUPLICATE_KEYS) -> DataFrame:
-    """Append only rows whose keys are not stored yet; the first of equal incoming keys stays."""
+    """Append only rows whose keys are not stored yet; the first of equal incoming keys stays.
+
+    Two null keys are equal, so a repeated run adds nothing.
+    """
     earliest = F.min(_ranked(order, incoming.columns))[_ROW]
     first = incoming.groupBy(*keys).agg(earliest.alias(_NEW)).select(f"{_NEW}.*")
     stored = current.select(*keys).distinct()
-    return current.unionByName(first.join(stored, keys, "left_anti").select(*current.columns))
+    return current.unionByName(join_by(first, stored, keys, "left_anti").select(*current.columns))
 
 
 def update_where(current: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:

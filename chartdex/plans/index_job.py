@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chartdex.functions.keys import SEPARATOR, in_prefix_range, rowkey_prefix
 from chartdex.operators.filters import FilterSpec
-from chartdex.operators.lookups import DOCUMENT_FIELDS, LOOKUP_KEY, master_documents, routed_visits
+from chartdex.operators.lookups import DOCUMENT_FIELDS, LOOKUP_KEY, SALT_RANGE, master_documents, routed_visits
 from chartdex.operators.tables import upsert_by_id
 from chartdex.sources.scans import scan_filtered
 from chartdex.sources.sinks import BATCH_SIZE, write_batched
@@ -19,29 +19,35 @@ VISIT_COLUMNS = ["OID", "GLOBLE_ID", "IN_PATIENT_ID", "VISIT_ID", "VISIT_TYPE_CO
 _LAST_NUMBER = 2**63 - 1
 
 
-def latest_visits(visits: DataFrame, oid: str) -> DataFrame:
+def latest_visits(visits: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE) -> DataFrame:
     """The last visit, by its number, per master lookup key.
 
     Only the visit number of a visit reaches the document, and the document of the
-    last visit wins, so earlier visits can go before the join. The maximum combines
-    on the map side: a patient with a great many visits leaves one row per task.
+    last visit wins, so earlier visits can go before the join. Visits whose id is the
+    plain text of its number are reduced by a maximum of numbers, which combines on the
+    map side without sorting; other spellings stay apart until then.
     """
     number = F.col("VISIT_ID").try_cast("bigint")
+    odd = F.when(number.cast("string").eqNullSafe(F.col("VISIT_ID")), None).otherwise(F.col("VISIT_ID"))
+    reduced = visits.groupBy("IN_PATIENT_ID", "VISIT_TYPE_CODE", odd.alias("odd")).agg(F.max(number).alias("number"))
+    spelled = F.coalesce("odd", F.col("number").cast("string")).alias("VISIT_ID")
     last = (
-        visits.groupBy("IN_PATIENT_ID", "VISIT_TYPE_CODE")
-        .agg(F.max(F.struct(number.alias("number"), F.col("VISIT_ID"))).alias("last"))
+        reduced.groupBy("IN_PATIENT_ID", "VISIT_TYPE_CODE")
+        .agg(F.max(F.struct("number", spelled)).alias("last"))
         .select("IN_PATIENT_ID", "VISIT_TYPE_CODE", "last.*")
     )
-    return routed_visits(last, oid).select(LOOKUP_KEY, "number", "VISIT_ID")
+    return routed_visits(last, oid, salt_range=salt_range).select(LOOKUP_KEY, "number", "VISIT_ID")
 
 
-def index_documents(visits: DataFrame, masters: DataFrame, oid: str) -> DataFrame:
+def index_documents(
+    visits: DataFrame, masters: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE
+) -> DataFrame:
     """Index documents of visits over master documents, fresh or stored by ``save_masters``.
 
     Where several documents share an id, that of the latest visit wins, then the
     smallest EID and row key.
     """
-    documents = latest_visits(visits, oid).join(masters, LOOKUP_KEY)
+    documents = latest_visits(visits, oid, salt_range).join(masters, LOOKUP_KEY)
     # the complement orders numbers downwards without the overflow of a negation
     newest_first = F.coalesce(F.bitwise_not("number"), F.lit(_LAST_NUMBER))
     document = F.struct(*DOCUMENT_FIELDS[1:]).alias("doc")
@@ -49,7 +55,13 @@ def index_documents(visits: DataFrame, masters: DataFrame, oid: str) -> DataFram
     return documents.groupBy("id").agg(winner.alias("doc")).select("id", "doc.*")
 
 
-def patient_list_index(visits: DataFrame, patients: DataFrame, oid: str, patient_id: str | None = None) -> DataFrame:
+def patient_list_index(
+    visits: DataFrame,
+    patients: DataFrame,
+    oid: str,
+    patient_id: str | None = None,
+    salt_range: tuple[int, int] = SALT_RANGE,
+) -> DataFrame:
     """Index documents of all visits, or of one patient's.
 
     Visits of a routed type are joined to the master rows of their patient and
@@ -59,10 +71,10 @@ def patient_list_index(visits: DataFrame, patients: DataFrame, oid: str, patient
     if patient_id and patient_id.strip():
         one = [FilterSpec("IN_PATIENT_ID", "=", patient_id)]
         # a constant key range, so a table sorted by row key is read only where the patient is
-        prefix = F.concat(rowkey_prefix(F.lit(patient_id), oid), F.lit(SEPARATOR))
+        prefix = F.concat(rowkey_prefix(F.lit(patient_id), oid, *salt_range), F.lit(SEPARATOR))
         patients = patients.where(in_prefix_range("rowkey", prefix))
     wanted = scan_filtered(visits, one, *VISIT_COLUMNS)
-    return index_documents(wanted, master_documents(patients), oid)
+    return index_documents(wanted, master_documents(patients), oid, salt_range)
 
 
 def save_masters(patients: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
@@ -83,11 +95,13 @@ def run_index_job(
     flush: Callable[[list[Row]], None],
     patient_id: str | None = None,
     batch_size: int = BATCH_SIZE,
+    salt_range: tuple[int, int] = SALT_RANGE,
 ) -> None:
     """Build the documents and hand them to an index in batches."""
-    write_batched(patient_list_index(visits, patients, oid, patient_id), flush, batch_size)
+    write_batched(patient_list_index(visits, patients, oid, patient_id, salt_range), flush, batch_size)
 
 
 def refresh_index(index: DataFrame, documents: DataFrame) -> DataFrame:
-    """The index after a bulk upsert of job output, whose ids are unique."""
-    return upsert_by_id(index, documents, order=["VISIT_ID"])
+    """The index after a bulk upsert of job output; of several runs the latest visit counts, by its number."""
+    numbered = documents.withColumn("__number", F.col("VISIT_ID").try_cast("bigint"))
+    return upsert_by_id(index, numbered, order=["__number", "VISIT_ID"])

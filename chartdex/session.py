@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -20,14 +18,20 @@ def local_session(app: str = "chartdex", cores: str = "*", partitions: int = 8)
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, preferring the folder the cluster names."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that the cluster names, which all executors share.
+
+    A local session without the setting uses one beside its warehouse.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="chartdex-checkpoint-")
-    context.setCheckpointDir(folder)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoint"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` usable, in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

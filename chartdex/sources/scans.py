@@ -120,14 +120,15 @@ def search_index(
     sort: list[Column] = (),
     fields: list[str] = (),
     start: int = 0,
-    rows: int = 10,
+    rows: int | None = None,
 ) -> DataFrame:
-    """A page of index documents.
+    """Index documents in order: all that match, or the page of ``rows`` from ``start``.
 
     Of several queries the last one counts; none matches everything. The id
     settles ties, so pages do not overlap.
     """
     matched = filter_rows(index, *queries[-1]) if queries else index
     ordered = matched.orderBy(*sort, F.col("id").asc())
-    page = ordered.offset(start).limit(rows)
+    page = ordered.offset(start) if start else ordered
+    page = page if rows is None else page.limit(rows)
     return page.select(*fields) if fields else page

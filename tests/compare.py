@@ -15,7 +15,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-PLAIN_TYPES = {"bigint", "double", "string"}
+PLAIN_TYPES = {"bigint", "double", "string", "boolean"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

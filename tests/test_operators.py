@@ -262,7 +262,7 @@ def test_multi_value_documents_in_parts(spark):
         ("v1", 0, ["E0", "E1", "E2"]), ("v1", 1, ["E3", "E4", "E5"]), ("v1", 2, ["E6"]),
     ]
     assert docs[-1]["VISIT_ID"] == ["10"] and docs[0]["id"] == ["0001|02"] * 3
-    whole = lookups.multi_value_docs(visits, patients, "o").collect()
+    whole = lookups.multi_value_docs(visits, patients, "o", part_size=10).collect()
     assert len(whole) == 2 and all(len(r["EID"]) == 7 for r in whole)
 
 

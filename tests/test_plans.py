@@ -52,3 +52,11 @@ def test_index_job_aggregates_visits_before_the_join(spark, sf_dir):
     plan = plan_of(QUERIES["patient_list_index"](spark, sf_dir))
     assert plan.count("FileScan") == 2
     assert "partial_max" in plan and "partial_min(struct" in plan
+
+
+def test_visits_are_reduced_by_hashing_before_the_shuffle(spark, sf_dir):
+    lines = plan_of(QUERIES["patient_list_index"](spark, sf_dir)).splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "o_orderkey" in line)
+    exchange = max(i for i in range(scan) if "Exchange" in lines[i])
+    assert any("HashAggregate" in line for line in lines[exchange:scan])
+    assert not any("SortAggregate" in line for line in lines[exchange:scan])

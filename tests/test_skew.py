@@ -124,7 +124,7 @@ def test_multi_value_documents_with_a_hot_master(spark, small_partitions):
 def test_membership_in_an_aggregated_key_table(spark, small_partitions, present):
     rows = visit_rows(spark)
     keys = rows.groupBy("IN_PATIENT_ID").count().where(F.col("count") > 1000)
-    kept = matching(rows, keys, "IN_PATIENT_ID", present)
+    kept = matching(rows, keys, "IN_PATIENT_ID", present, aggregated=True)
     assert "skew=true" in final_plan(kept.groupBy("OID").agg(F.max("rowkey")))
     hot = ROWS // 3 + rows.where((F.col("IN_PATIENT_ID") == HOT) & (F.col("VISIT_ID") % 3 != 0)).count()
     assert kept.count() == (hot if present else ROWS - hot)
