@@ -13,7 +13,7 @@ _SLOT, _PART, _BEFORE = "__slot", "__part", "__before"
 _POSITION_BITS = 33
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str = "row_no", start: int = 1) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column], name: str = "row_no", start: int | Column = 1) -> DataFrame:
     """Number rows consecutively in the given order, which must be a total one.
 
     The rows are range-partitioned and sorted once; each partition counts its own

@@ -152,8 +152,8 @@ def append_events(current: DataFrame, new_events: DataFrame, order: list[str]) -
 
 def assign_event_keys(current: DataFrame, new_events: DataFrame, order: list[str]) -> DataFrame:
     """The new events with their generated keys; nulls stay null."""
-    last = current.agg(F.coalesce(F.max(EVENT_KEY), F.lit(0)).alias("last")).first()["last"]
-    numbered = number_rows(new_events.select(*EVENT_COLUMNS), [F.col(c) for c in order], EVENT_KEY, int(last) + 1)
+    last = current.agg(F.coalesce(F.max(EVENT_KEY), F.lit(0))).scalar()
+    numbered = number_rows(new_events.select(*EVENT_COLUMNS), [F.col(c) for c in order], EVENT_KEY, last + 1)
     return numbered.select(EVENT_KEY, *EVENT_COLUMNS)
 
 
@@ -196,9 +196,10 @@ def append_idempotent(current: DataFrame, incoming: DataFrame, order: list[str],
     Two null keys are equal, so a repeated run adds nothing.
     """
     earliest = F.min(_ranked(order, incoming.columns))[_ROW]
-    first = incoming.groupBy(*keys).agg(earliest.alias(_NEW)).select(f"{_NEW}.*")
-    stored = current.select(*keys).distinct()
-    return current.unionByName(join_by(first, stored, keys, "left_anti").select(*current.columns))
+    # stored keys go first, as only the rest has to be ordered within its keys
+    fresh = join_by(incoming, current.select(*keys).distinct(), keys, "left_anti")
+    first = fresh.groupBy(*keys).agg(earliest.alias(_NEW)).select(f"{_NEW}.*")
+    return current.unionByName(first.select(*current.columns))
 
 
 def update_where(current: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:
