@@ -116,7 +116,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
 
-@_register("op5_minhash_forest")
+@_register(
+    "op5_minhash_forest",
+    f"""
+    with recursive w as (
+        select doc_id, regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^{_SPACE}]+') as w from documents),
+    shingles as (
+        select distinct doc_id, case when len(w) < 3 then array_to_string(w, ' ') else w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] end as s
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from w where len(w) > 0)),
+    sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+    common as (
+        select a.doc_id as x, b.doc_id as y, count(*) as i from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+        group by a.doc_id, b.doc_id),
+    near as (
+        select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * i >= 85 * (p.n + q.n - i)),
+    links as (select x, y from near union all select y, x from near),
+    reach as (
+        select doc_id, doc_id as seen from documents
+        union
+        select reach.doc_id, links.y from reach join links on links.x = reach.seen)
+    select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(seen) as component_id, min(seen) = d.doc_id as kept
+    from documents d join reach using (doc_id) left join sizes using (doc_id) group by d.doc_id
+    """,
+)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
