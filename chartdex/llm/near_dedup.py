@@ -6,8 +6,9 @@
 2. The forest: each tree is an order of the classes by another selection of 12 of
    their MinHash values. Neighbours in an order are those with the longest common
    prefix; where many classes share a prefix the order goes deeper by itself, where
-   few do a short prefix is enough. A class meets the next ``window`` ones that share
-   the first ``min_depth`` values. All orders are range-partitioned together and sorted
+   few do a short prefix is enough. Within ``window`` places and a shared prefix of
+   ``MIN_DEPTH`` values, two classes meet if each is among the three of the other's
+   neighbours on its side that look most similar. All orders are range-partitioned together and sorted
    by (tree, key, class), so no prefix can fill a task; the rows at both ends of each
    partition are lined up once more, so that no border hides a pair.
 3. A 256-bit sketch (two bits of every MinHash value) drops pairs that lie five standard
@@ -18,7 +19,9 @@
    result. Groups are components of the confirmed links.
 5. A second, deeper forest over the classes that had a candidate looks for links between
    different groups only: in a dense region, where many classes share long prefixes, the
-   few partners of an outlier need more orders and longer keys to come next to it.
+   few partners of an outlier need more orders and longer keys to come next to it. Here
+   the two most similar neighbours meet; and a class that comes next to a group also
+   meets that group's hubs, the members that agree most with a sample of it.
 
 A pair at the threshold is missed only if it is apart in all orders of both forests.
 Only classes that have a candidate send their sets. Ids are expected to be unique.
@@ -44,7 +47,7 @@ from chartdex.llm.components import _follow, components
 from chartdex.llm.shared import Workspace, row_key
 from chartdex.llm.words import mix64, words_by_text
 
-HASHES, WINDOW, MIN_DEPTH = 128, 8, 2
+HASHES, WINDOW, MIN_DEPTH, SAMPLES, HUBS = 128, 8, 2, 16, 4
 
 
 class Forest(NamedTuple):
@@ -53,10 +56,11 @@ class Forest(NamedTuple):
     trees: int
     depth: int
     seed: int
+    best: int  # two neighbours meet if each is among this many of the other's most similar ones on its side
 
 
 #: The forest over all classes, and the deeper one over those that have candidates.
-WIDE, DEEP = Forest(24, 12, 7), Forest(40, 24, 8)
+WIDE, DEEP = Forest(24, 12, 7, 3), Forest(32, 24, 8, 2)
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -165,7 +169,18 @@ def _orders(forest: Forest):
     return run
 
 
-def _meet(table: pa.Table, percent: int, window: int, most_apart: int, fresh: int) -> tuple[np.ndarray, ...]:
+def _first_of(rank: np.ndarray, row: np.ndarray, best: int) -> np.ndarray:
+    """Whether each pair is among the ``best`` lowest ranks of its row."""
+    order = np.lexsort((rank, row))
+    row = row[order]
+    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    place = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
+    out = np.zeros(len(row), bool)
+    out[order] = place < best
+    return out
+
+
+def _meet(table: pa.Table, percent: int, window: int, most_apart: int, best: int, fresh: int) -> tuple[np.ndarray, ...]:
     """Pairs of neighbours in a sorted table; the first ``fresh`` rows were paired before."""
     rows = table.num_rows
     tree, node, group, n = (table.column(c).to_numpy() for c in ("tree", "node", "grp", "n"))
@@ -183,11 +198,15 @@ def _meet(table: pa.Table, percent: int, window: int, most_apart: int, fresh: in
         x = sketch[:, i] ^ sketch[:, j]
         apart = np.bitwise_count((x | (x >> np.uint64(1))) & even).sum(axis=0, dtype=np.int64)
         close = apart <= most_apart
-        out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), apart])[:, close])
-    return tuple(np.concatenate(out, axis=1)) if out else (np.zeros(0, np.int64),) * 3
+        out.append(np.stack([i, j, apart])[:, close])
+    i, j, apart = np.concatenate(out, axis=1)
+    if best < window and len(i):
+        chosen = _first_of(apart, i, best) & _first_of(apart, j, best)
+        i, j, apart = i[chosen], j[chosen], apart[chosen]
+    return np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), apart
 
 
-def _neighbours(percent: int, window: int, most_apart: int, with_ends: bool):
+def _neighbours(percent: int, window: int, most_apart: int, best: int, with_ends: bool):
     """Pairs (a, b, apart); with_ends: also the first and last rows of the partition, for its borders."""
     fields = [("tree", pa.int32()), ("key", pa.binary())] + [(c, pa.int64()) for c in _ORDER_COLUMNS[2:]]
     pair_fields = [("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int64())]
@@ -215,7 +234,7 @@ def _neighbours(percent: int, window: int, most_apart: int, with_ends: bool):
                 first = False
             before = 0 if kept is None else kept.num_rows
             table = table if kept is None else pa.concat_tables([kept, table])
-            yield pairs_batch(_meet(table, percent, window, most_apart, before))
+            yield pairs_batch(_meet(table, percent, window, most_apart, best, before))
             kept = table.slice(max(0, table.num_rows - window))
         if with_ends and kept is not None:
             yield ends_batch(kept)
@@ -223,25 +242,29 @@ def _neighbours(percent: int, window: int, most_apart: int, with_ends: bool):
     return run
 
 
+def _expected_share(percent: int) -> float:
+    """Share of sketch positions that differ at the threshold; a quarter of the others agree by chance."""
+    return 0.75 * (1 - percent / 100)
+
+
 def candidate_pairs(work: Workspace, classes: DataFrame, percent: int, forest: Forest, window: int, name: str) -> DataFrame:
     """(a, b, apart): pairs of classes that are neighbours in some order and look similar enough.
 
     ``classes``: (node, grp, n, sig); classes of one group ``grp`` need not meet.
     """
-    share = 0.75 * (1 - percent / 100)
+    share = _expected_share(percent)
     most_apart = int(HASHES * share + 5 * (HASHES * share * (1 - share)) ** 0.5) + 1
     order = ["tree", "key", "node"]
     sort = lambda df: df.sortWithinPartitions(*order)
     rows = classes.select("node", "grp", "n", "sig").mapInArrow(_orders(forest), _ORDER_SCHEMA)
     placed = sort(rows.repartitionByRange(*order))
+    meet = lambda ends: _neighbours(percent, window, most_apart, forest.best, ends)
     found = work.cut(
-        placed.mapInArrow(_neighbours(percent, window, most_apart, True), f"a bigint, b bigint, apart bigint, {_ORDER_SCHEMA}"),
+        placed.mapInArrow(meet(True), f"a bigint, b bigint, apart bigint, {_ORDER_SCHEMA}"),
         f"{name}-neighbours",
     )
     ends = found.where(F.col("tree").isNotNull()).select(*_ORDER_COLUMNS)
-    at_borders = sort(ends.distinct().repartition("tree")).mapInArrow(
-        _neighbours(percent, window, most_apart, False), "a bigint, b bigint, apart bigint"
-    )
+    at_borders = sort(ends.distinct().repartition("tree")).mapInArrow(meet(False), "a bigint, b bigint, apart bigint")
     pairs = found.where(F.col("a").isNotNull()).select("a", "b", "apart").union(at_borders)
     return work.cut(pairs.groupBy("a", "b").agg(F.min("apart").alias("apart")), f"{name}-pairs")
 
@@ -260,6 +283,50 @@ def _best(pairs: DataFrame, by: list[Column]) -> DataFrame:
     return best.select("p.a", "p.b")
 
 
+def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many MinHash values two signatures of a row share."""
+    for batch in batches:
+        one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, HASHES) for k in (2, 3))
+        same = pa.array((one == two).sum(axis=1, dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), same], names=["node", "grp", "same"])
+
+
+def _hubs(members: DataFrame, samples: int, hubs: int) -> DataFrame:
+    """(grp, hub): the members of each group that agree most with ``samples`` of its members.
+
+    Such as the text that the others were made from. ``members``: (node, grp, sig).
+    """
+    in_group = Window.partitionBy("grp")
+    drawn = F.row_number().over(in_group.orderBy(F.xxhash64("node"), "node"))
+    some = members.withColumn("rank", drawn).where(F.col("rank") <= samples).select("grp", F.col("sig").alias("sample"))
+    both = members.join(some, "grp").select("node", "grp", "sig", "sample")
+    agreed = both.mapInArrow(_agreement, "node bigint, grp bigint, same bigint").groupBy("node", "grp").agg(F.sum("same").alias("same"))
+    rank = F.row_number().over(in_group.orderBy(F.col("same").desc(), "node"))
+    return agreed.withColumn("rank", rank).where(F.col("rank") <= hubs).select("grp", F.col("node").alias("hub"))
+
+
+def _hub_pairs(work: Workspace, apart: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of the smaller group of each pair with the hubs of the larger one.
+
+    A class is its own group until it is linked.
+    """
+    sizes = roots.groupBy("to").agg(F.count("*").alias("members"))
+    sized = apart
+    for side in ("a", "b"):
+        size = sizes.select(F.col("to").alias(f"c{side}"), F.col("members").alias(f"n{side}"))
+        sized = sized.join(size, f"c{side}", "left").withColumn(f"n{side}", F.coalesce(f"n{side}", F.lit(1)))
+    to_left = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ca") < F.col("cb")))
+    asked = sized.select(
+        F.when(to_left, F.col("b")).otherwise(F.col("a")).alias("node"),
+        F.when(to_left, F.col("ca")).otherwise(F.col("cb")).alias("grp"),
+    )
+    asked = work.cut(asked.distinct(), "hub-asked")
+    members = _follow(classes.select("node", F.col("node").alias("grp"), "sig"), "grp", roots)
+    named = _hubs(members.join(asked.select("grp").distinct(), "grp", "left_semi"), SAMPLES, HUBS)
+    met = asked.join(named, "grp").where("node <> hub")
+    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def linked_groups(
     work: Workspace,
     pairs: DataFrame,
@@ -268,27 +335,38 @@ def linked_groups(
     turns: tuple[str, ...],
     name: str,
     roots: DataFrame | None = None,
-) -> DataFrame:
-    """(node, to): the smallest node connected with each node by confirmed links.
+    classes: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(node, to), the smallest node connected with each node by confirmed links, and the pairs left.
 
-    ``roots``: groups found before. Each turn confirms a choice of the pairs that still
-    lie between groups; the last one is ``rest``, all that no turn has tried.
+    ``pairs``: (a, b, apart, tried). ``roots``: groups found before, among ``classes``.
+    Each turn confirms a choice of the pairs that still lie between groups and were not
+    tried; the last one is ``rest``, all of them.
     """
-    tried = None
+    left = pairs
     for turn in turns:
-        apart = pairs.select("*", F.col("a").alias("ca"), F.col("b").alias("cb"))
-        if roots is not None:
-            apart = _follow(_follow(apart, "ca", roots), "cb", roots).where("ca <> cb")
+        if roots is None:
+            left = left.select("a", "b", "apart", "tried", F.col("a").alias("ca"), F.col("b").alias("cb"))
+        else:
+            named = left.select("a", "b", "apart", "tried", F.col("a").alias("ca"), F.col("b").alias("cb"))
+            left = work.cut(_follow(_follow(named, "ca", roots), "cb", roots).where("ca <> cb"), f"{name}-{turn}-left")
+        fresh = left.where("not tried")
         if turn == "partner":
-            chosen = _best(apart, [F.col("a").alias("k")]).union(_best(apart, [F.col("b").alias("k")])).distinct()
+            chosen = _best(fresh, [F.col("a").alias("k")]).union(_best(fresh, [F.col("b").alias("k")])).distinct()
         elif turn == "group":
-            chosen = _best(apart, [F.least("ca", "cb").alias("k1"), F.greatest("ca", "cb").alias("k2")])
+            chosen = _best(fresh, [F.least("ca", "cb").alias("k1"), F.greatest("ca", "cb").alias("k2")])
+        elif turn == "hub":
+            chosen = _hub_pairs(work, left, roots, classes)
         else:
-            chosen = apart.select("a", "b")
-            chosen = chosen if tried is None else chosen.join(tried, ["a", "b"], "left_anti")
+            chosen = fresh.select("a", "b")
         chosen = work.cut(chosen, f"{name}-{turn}-chosen")
-        tried = chosen if tried is None else tried.union(chosen)
         links = work.cut(_confirmed(chosen, sets, percent), f"{name}-{turn}-links")
+        if turn == "rest":
+            left = left.withColumn("tried", F.lit(True))
+        else:
+            asked = chosen.select(F.col("a").alias("__a"), F.col("b").alias("__b"))
+            same = (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b"))
+            left = left.join(asked, same, "left").withColumn("tried", F.col("tried") | F.col("__a").isNotNull()).drop("__a", "__b")
         if roots is not None:
             links = _follow(_follow(links, "a", roots), "b", roots)
         steps = components(work, links, f"{name}-{turn}")
@@ -297,7 +375,7 @@ def linked_groups(
         else:
             new = steps.join(roots, "node", "left_anti")
             roots = work.cut(_follow(roots, "to", steps).union(new), f"{name}-{turn}-roots")
-    return roots
+    return roots, left.select("a", "b", "apart", "tried")
 
 
 def near_duplicates(
@@ -330,10 +408,12 @@ def near_duplicates(
         texts.join(active, "id", "left_semi").select("id", "text").mapInArrow(_sets(shingle), "node bigint, items array<bigint>"),
         "sets",
     )
-    roots = linked_groups(work, pairs, sets, percent, ("partner", "group", "rest"), "wide")
+    untried = pairs.withColumn("tried", F.lit(False))
+    roots, left = linked_groups(work, untried, sets, percent, ("partner", "group", "rest"), "wide")
     dense = _follow(named.join(active.select(F.col("id").alias("node")), "node", "left_semi"), "grp", roots)
-    deep = candidate_pairs(work, dense, percent, forests[1], window, "deep").join(pairs, ["a", "b"], "left_anti")
-    roots = linked_groups(work, deep, sets, percent, ("group", "rest"), "deep", roots)
+    deep = candidate_pairs(work, dense, percent, forests[1], window, "deep").withColumn("tried", F.lit(False))
+    both = left.union(deep).groupBy("a", "b").agg(F.min("apart").alias("apart"), F.max("tried").alias("tried"))
+    roots, _ = linked_groups(work, both, sets, percent, ("hub", "rest"), "deep", roots, dense)
     component = _follow(classes.select("s1", "s2", F.col("node").alias("component_id")), "component_id", roots)
     labels = work.cut(component, "labels")
     joined = signed.select("id", "r1", "r2", "n", "s1", "s2").join(labels, ["s1", "s2"], "left")
