@@ -6,11 +6,13 @@
 2. The forest: each tree is an order of the classes by another selection of 12 of
    their MinHash values. Neighbours in an order are those with the longest common
    prefix; where many classes share a prefix the order goes deeper by itself, where
-   few do a short prefix is enough. Within ``window`` places and a shared prefix of
-   ``MIN_DEPTH`` values, two classes meet if each is among the three of the other's
-   neighbours on its side that look most similar. All orders are range-partitioned together and sorted
+   few do a short prefix is enough. Two classes within ``window`` places that share a
+   prefix of ``MIN_DEPTH`` values meet. All orders are range-partitioned together and sorted
    by (tree, key, class), so no prefix can fill a task; the rows at both ends of each
-   partition are lined up once more, so that no border hides a pair.
+   partition are lined up once more, so that no border hides a pair. The orders are read
+   twice: first only the ``FIRST`` most similar neighbours on each side meet, which joins
+   most of a dense region; then, over every class that has any neighbour at all, all
+   neighbours meet that are not in one group by then.
 3. A 256-bit sketch (two bits of every MinHash value) drops pairs that lie five standard
    deviations below the threshold, and the set sizes drop those that cannot reach it.
 4. The rest is confirmed on the full sets: first each class with its most similar
@@ -19,9 +21,9 @@
    result. Groups are components of the confirmed links.
 5. A second, deeper forest over the classes that had a candidate looks for links between
    different groups only: in a dense region, where many classes share long prefixes, the
-   few partners of an outlier need more orders and longer keys to come next to it. Here
-   the two most similar neighbours meet; and a class that comes next to a group also
-   meets that group's hubs, the members that agree most with a sample of it.
+   few partners of an outlier need more orders and longer keys to come next to it. Here a
+   class that comes next to a group also meets that group's hubs, the members that agree
+   most with a sample of it.
 
 A pair at the threshold is missed only if it is apart in all orders of both forests.
 Only classes that have a candidate send their sets. Ids are expected to be unique.
@@ -47,7 +49,7 @@ from chartdex.llm.components import _follow, components
 from chartdex.llm.shared import Workspace, row_key
 from chartdex.llm.words import mix64, words_by_text
 
-HASHES, WINDOW, MIN_DEPTH, SAMPLES, HUBS = 128, 8, 2, 16, 4
+HASHES, WINDOW, MIN_DEPTH, FIRST, SAMPLES, HUBS = 128, 8, 2, 3, 16, 4
 
 
 class Forest(NamedTuple):
@@ -56,11 +58,10 @@ class Forest(NamedTuple):
     trees: int
     depth: int
     seed: int
-    best: int  # two neighbours meet if each is among this many of the other's most similar ones on its side
 
 
 #: The forest over all classes, and the deeper one over those that have candidates.
-WIDE, DEEP = Forest(24, 12, 7, 3), Forest(32, 24, 8, 2)
+WIDE, DEEP = Forest(24, 12, 7), Forest(40, 24, 8)
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -181,7 +182,11 @@ def _first_of(rank: np.ndarray, row: np.ndarray, best: int) -> np.ndarray:
 
 
 def _meet(table: pa.Table, percent: int, window: int, most_apart: int, best: int, fresh: int) -> tuple[np.ndarray, ...]:
-    """Pairs of neighbours in a sorted table; the first ``fresh`` rows were paired before."""
+    """Pairs of neighbours in a sorted table; the first ``fresh`` rows were paired before.
+
+    With ``best`` below the window, only pairs in which each is among so many of the other's
+    most similar ones on its side; a class left with no pair by that is paired with itself.
+    """
     rows = table.num_rows
     tree, node, group, n = (table.column(c).to_numpy() for c in ("tree", "node", "grp", "n"))
     prefix = np.frombuffer(b"".join(k[: 2 * MIN_DEPTH] for k in table.column("key").to_pylist()), dtype=np.uint8).reshape(rows, -1)
@@ -202,7 +207,8 @@ def _meet(table: pa.Table, percent: int, window: int, most_apart: int, best: int
     i, j, apart = np.concatenate(out, axis=1)
     if best < window and len(i):
         chosen = _first_of(apart, i, best) & _first_of(apart, j, best)
-        i, j, apart = i[chosen], j[chosen], apart[chosen]
+        alone = np.setdiff1d(np.r_[i, j], np.r_[i[chosen], j[chosen]])
+        i, j, apart = np.r_[i[chosen], alone], np.r_[j[chosen], alone], np.r_[apart[chosen], np.zeros(len(alone), np.int64)]
     return np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), apart
 
 
@@ -247,10 +253,14 @@ def _expected_share(percent: int) -> float:
     return 0.75 * (1 - percent / 100)
 
 
-def candidate_pairs(work: Workspace, classes: DataFrame, percent: int, forest: Forest, window: int, name: str) -> DataFrame:
+def candidate_pairs(
+    work: Workspace, classes: DataFrame, percent: int, forest: Forest, window: int, name: str, best: int | None = None
+) -> DataFrame:
     """(a, b, apart): pairs of classes that are neighbours in some order and look similar enough.
 
-    ``classes``: (node, grp, n, sig); classes of one group ``grp`` need not meet.
+    ``classes``: (node, grp, n, sig); classes of one group ``grp`` need not meet. With
+    ``best`` only so many neighbours on each side, and (a, a, 0) for classes whose
+    neighbours are all further.
     """
     share = _expected_share(percent)
     most_apart = int(HASHES * share + 5 * (HASHES * share * (1 - share)) ** 0.5) + 1
@@ -258,7 +268,7 @@ def candidate_pairs(work: Workspace, classes: DataFrame, percent: int, forest: F
     sort = lambda df: df.sortWithinPartitions(*order)
     rows = classes.select("node", "grp", "n", "sig").mapInArrow(_orders(forest), _ORDER_SCHEMA)
     placed = sort(rows.repartitionByRange(*order))
-    meet = lambda ends: _neighbours(percent, window, most_apart, forest.best, ends)
+    meet = lambda ends: _neighbours(percent, window, most_apart, best or window, ends)
     found = work.cut(
         placed.mapInArrow(meet(True), f"a bigint, b bigint, apart bigint, {_ORDER_SCHEMA}"),
         f"{name}-neighbours",
@@ -402,18 +412,20 @@ def near_duplicates(
         "classes",
     )
     named = classes.where(F.col("node").isNotNull()).select("node", F.col("node").alias("grp"), "n", "sig")
-    pairs = candidate_pairs(work, named, percent, forests[0], window, "wide")
+    pairs = candidate_pairs(work, named, percent, forests[0], window, "first", min(FIRST, window))
     active = work.cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "active")
     sets = work.cut(
         texts.join(active, "id", "left_semi").select("id", "text").mapInArrow(_sets(shingle), "node bigint, items array<bigint>"),
         "sets",
     )
-    untried = pairs.withColumn("tried", F.lit(False))
-    roots, left = linked_groups(work, untried, sets, percent, ("partner", "group", "rest"), "wide")
-    dense = _follow(named.join(active.select(F.col("id").alias("node")), "node", "left_semi"), "grp", roots)
-    deep = candidate_pairs(work, dense, percent, forests[1], window, "deep").withColumn("tried", F.lit(False))
-    both = left.union(deep).groupBy("a", "b").agg(F.min("apart").alias("apart"), F.max("tried").alias("tried"))
-    roots, _ = linked_groups(work, both, sets, percent, ("hub", "rest"), "deep", roots, dense)
+    met = named.join(active.select(F.col("id").alias("node")), "node", "left_semi")
+    untried = pairs.where("a < b").withColumn("tried", F.lit(False))
+    roots, left = linked_groups(work, untried, sets, percent, ("partner", "group", "rest"), "first")
+    for forest, turns, name in ((forests[0], ("group", "rest"), "wide"), (forests[1], ("hub", "rest"), "deep")):
+        dense = _follow(met, "grp", roots)
+        found = candidate_pairs(work, dense, percent, forest, window, name).withColumn("tried", F.lit(False))
+        both = left.union(found).groupBy("a", "b").agg(F.min("apart").alias("apart"), F.max("tried").alias("tried"))
+        roots, left = linked_groups(work, both, sets, percent, turns, name, roots, dense)
     component = _follow(classes.select("s1", "s2", F.col("node").alias("component_id")), "component_id", roots)
     labels = work.cut(component, "labels")
     joined = signed.select("id", "r1", "r2", "n", "s1", "s2").join(labels, ["s1", "s2"], "left")

@@ -86,6 +86,23 @@ def test_near_duplicates_in_a_dense_region(spark):
     assert got == groups_by_brute_force(rows, 3, 85)
 
 
+def test_all_neighbours_of_a_dense_region_meet(spark):
+    """Every two of nine classes share an order's window, so none may be left out for closer ones."""
+    from chartdex.llm.near_dedup import DEEP, HASHES, WIDE, candidate_pairs
+    from chartdex.llm.shared import Workspace
+
+    rows = []
+    for i in range(9):
+        sig = np.arange(HASHES, dtype=np.uint16)
+        sig[10 * i : 10 * i + i] += 1
+        rows.append((i, i, 100, bytearray(sig.tobytes())))
+    classes = spark.createDataFrame(rows, "node long, grp long, n long, sig binary")
+    work = Workspace(spark, "test")
+    for name, forest in (("wide", WIDE), ("deep", DEEP)):
+        found = candidate_pairs(work, classes, 80, forest, 8, name).select("a", "b").collect()
+        assert {tuple(r) for r in found} == {(a, b) for a in range(9) for b in range(a + 1, 9)}
+
+
 def test_nearest_neighbours_recall(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
     ids = np.array([r["vec_id"] for r in table])
