@@ -122,6 +122,44 @@ def test_nearest_neighbours_recall(spark, sf_dir):
     assert not got and hits / asked >= 0.9
 
 
+def neighbours_by_id(spark, rows, queries, k=20, **options):
+    """{query: ids in the order of rank} from the index."""
+    from chartdex.llm.nearest import nearest_neighbours
+
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in sorted(nearest_neighbours(table, F.col("vec_id").isin(queries), k, **options).collect(), key=lambda r: r["rank"]):
+        got[r["query_id"]].append(r["vec_id"])
+    return got
+
+
+def test_query_next_to_an_empty_list_keeps_its_neighbours(spark, monkeypatch):
+    from chartdex.llm import nearest
+
+    rng = np.random.default_rng(3)
+    x = np.abs(rng.normal(size=(600, 8))) * 0.1
+    x[0], x[1] = -0.1, 1.0
+    spot = nearest.aim(x[:1], float(np.sqrt((x**2).sum(axis=1).max())))
+    plain = nearest.balanced_centroids
+    monkeypatch.setattr(nearest, "balanced_centroids", lambda sample, lists: np.r_[plain(sample, lists), spot])
+    got = neighbours_by_id(spark, [(i, v.tolist()) for i, v in enumerate(x)], [0, 20, 40], list_size=20)
+    assert {q: len(v) for q, v in got.items()} == {0: 20, 20: 20, 40: 20}
+
+
+def test_ids_with_many_vectors_leave_no_query_short(spark):
+    rng = np.random.default_rng(4)
+    rows = [(1, (np.ones(4) + 0.01 * rng.normal(size=4)).tolist()) for _ in range(30)]
+    rows += [(i, rng.normal(size=4).tolist()) for i in range(2, 40)]
+    got = neighbours_by_id(spark, rows, [1, 2], k=5)
+    for q in (1, 2):
+        best = defaultdict(lambda: -np.inf)
+        for a in (v for i, v in rows if i == q):
+            for i, v in rows:
+                if i != q:
+                    best[i] = max(best[i], float(np.dot(a, v)))
+        assert got[q] == sorted(best, key=lambda i: (-best[i], i))[:5]
+
+
 def test_languages_held_out(spark, sf_dir, documents):
     lang = {r["doc_id"]: r["lang"] for r in documents}
     right = []
