@@ -133,6 +133,31 @@ def neighbours_by_id(spark, rows, queries, k=20, **options):
     return got
 
 
+def clustered_vectors():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 16))[rng.integers(0, 60, 6000)] + 0.4 * rng.normal(size=(6000, 16))
+    return np.arange(6000), x * np.exp(0.5 * rng.normal(size=(6000, 1)))
+
+
+@pytest.mark.parametrize("table, list_size", [("given", 10), ("clustered", 50)])
+def test_nearest_neighbours_recall_with_many_lists(spark, sf_dir, table, list_size):
+    if table == "given":
+        rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+        ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], dtype=np.float64)
+    else:
+        ids, x = clustered_vectors()
+    assert len(ids) // list_size >= 50
+    asked = np.flatnonzero(ids % 20 == 0)
+    got = neighbours_by_id(spark, [(int(i), v.tolist()) for i, v in zip(ids, x)], ids[asked].tolist(), list_size=list_size)
+    hits = 0
+    for q in asked:
+        near = x @ x[q]
+        near[q] = -np.inf
+        assert len(got[ids[q]]) == min(20, len(ids) - 1)
+        hits += len(set(ids[np.lexsort((ids, -near))[:20]]) & set(got[ids[q]]))
+    assert hits / (20 * len(asked)) >= 0.9
+
+
 def test_query_next_to_an_empty_list_keeps_its_neighbours(spark, monkeypatch):
     from chartdex.llm import nearest
 
