@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chartdex.llm import language_id, line_dedup, lm_score, mixing, near_dedup, nearest, packing, personal_data, quality, sharding
+from chartdex.llm import centroids, language_id, line_dedup, lm_score, mixing, near_dedup, nearest, packing, personal_data, quality, sharding
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -179,6 +179,45 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest_neighbours(vectors, F.pmod("vec_id", F.lit(20)) == 0, k=20)
 
 
+def _kmeans_sql(rounds: int) -> str:
+    """Assignment and new centroids, round by round, over integer vectors in long form."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(
+            f"""d{i} as (select v.i, c.c, sum((v.x - c.x) * (v.x - c.x))::bigint as d from v join c{i} c on v.dim = c.dim group by v.i, c.c),
+            a{i} as (select i, c, d from d{i} qualify row_number() over (partition by i order by d, c) = 1)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} as (select a.c, v.dim, sum(v.x)::bigint as s, count(*) as n from v join a{i} a using (i) group by a.c, v.dim),
+                c{i + 1} as (select o.c, o.dim, coalesce((s - ((s % n) + n) % n) // n, o.x) as x from c{i} o left join s{i} s on s.c = o.c and s.dim = o.dim)"""
+            )
+    return ", ".join(steps)
+
+
+@_register(
+    "op11_subvector_clusters",
+    f"""
+    with e as (
+        select row_number() over () as i, vec_id, embedding from embeddings
+        where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+    v as (
+        select i, dim, floor(64 * embedding[dim]::double)::bigint as x
+        from (select i, embedding, unnest(range(1, 65)) as dim from e)),
+    first as (select i, row_number() over (order by sha256('1:' || vec_id)) - 1 as c from e qualify c < 16),
+    c0 as (select first.c, v.dim, v.x from first join v using (i)),
+    {_kmeans_sql(3)},
+    digest as (select c, sha256(string_agg(x::varchar, ',' order by dim)) as centroid_sha256 from c3 group by c)
+    select e.vec_id, a.c::int as cluster, a.d as distance, (sum(a.d) over (partition by a.c))::bigint as cluster_inertia,
+           (sum(a.d) over ())::bigint as inertia, centroid_sha256
+    from a3 a join e using (i) join digest using (c)
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return centroids.cluster_vectors(vectors, k=16, rounds=3, seed="1", dims=64, scale=64)
+
+
 @_register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
