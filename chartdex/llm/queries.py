@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chartdex.llm import centroids, language_id, line_dedup, lm_score, mixing, near_dedup, nearest, packing, personal_data, quality, sharding, spelling
+from chartdex.llm import centroids, language_id, line_dedup, lm_score, mixing, near_dedup, nearest, packing, passages, personal_data, quality, sharding, spelling
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -218,6 +218,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(vectors, k=16, rounds=3, seed="1", dims=64, scale=64)
 
 
+@_register("op12_suffix_passages")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.remove_passages(_documents(spark, sf_dir), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 @_register("op13_spelling_variants")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(_documents(spark, sf_dir), min_length=7, min_count=2, ratio=10, modulus=31)
