@@ -397,7 +397,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    batches = sinks.number_batches(docs, [F.col("o_orderkey").asc()])
+    batches = sinks.number_batches(docs, ["o_orderkey"])
     return batches.groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("docs"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")
     )

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from chartdex.functions.text import map_to_labels
-from chartdex.operators.numbering import number_rows
+from chartdex.operators.numbering import SortKey, number_rows
 
 # Fixed value: documents per commit.
 BATCH_SIZE = 1000
@@ -39,7 +39,7 @@ def write_batch_files(docs: DataFrame, path: str, batch_size: int = BATCH_SIZE)
     docs.write.mode("errorifexists").option("maxRecordsPerFile", batch_size).parquet(path)
 
 
-def number_batches(docs: DataFrame, order: list[Column], batch_size: int = BATCH_SIZE) -> DataFrame:
+def number_batches(docs: DataFrame, order: Sequence[SortKey | Column | str], batch_size: int = BATCH_SIZE) -> DataFrame:
     """Give every document its batch in a table-wide order."""
     numbered = number_rows(docs, order, "__no", start=0)
     batch = F.call_function("div", F.col("__no"), F.lit(batch_size))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chartdex.functions import codes
 from chartdex.operators import filters, lookups, ordering, reshape, tables
 from chartdex.operators.filters import FilterSpec
-from chartdex.operators.numbering import number_rows, number_within
+from chartdex.operators.numbering import SortKey, number_rows, number_within
 from chartdex.sources import scans
 
 
@@ -123,10 +123,10 @@ def test_fields_to_map(spark):
 
 def test_numbering_is_dense_over_a_frequent_key(spark):
     rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 11).alias("k"), "id").repartition(16)
-    numbered = number_rows(rows, [F.col("k").desc(), F.col("id").asc()]).orderBy("row_no").collect()
+    numbered = number_rows(rows, [SortKey(F.col("k"), ascending=False), "id"]).orderBy("row_no").collect()
     assert [r["row_no"] for r in numbered] == list(range(1, 5001))
     assert [(-r["k"], r["id"]) for r in numbered] == sorted((-r["k"], r["id"]) for r in numbered)
-    within = number_within(rows, ["k"], [F.col("id").asc()]).collect()
+    within = number_within(rows, ["k"], ["id"]).collect()
     by_key = {}
     for r in sorted(within, key=lambda r: r["id"]):
         by_key.setdefault(r["k"], []).append(r["row_no"])
@@ -135,6 +135,34 @@ def test_numbering_is_dense_over_a_frequent_key(spark):
 
 def test_numbering_of_no_rows(spark):
     assert number_rows(spark.range(0), [F.col("id")]).count() == 0
+    assert number_within(spark.range(0).withColumn("k", F.lit(1)), ["k"], ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 13])
+def test_numbering_with_nulls_in_any_order(spark, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    rows = [(None if i % 7 == 0 else i % 5, "x" * (i % 3) if i % 4 else None, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b string, id int").repartition(4)
+    order = [SortKey(F.col("a"), False), SortKey(F.col("b"), True, nulls_first=False), "id"]
+    got = {r["id"]: r["row_no"] for r in number_rows(df, order, start=10).collect()}
+    key = lambda r: (r[0] is None, -(r[0] or 0), r[1] is None, r[1] or "", r[2])
+    assert [got[r[2]] for r in sorted(rows, key=key)] == list(range(10, 310))
+    within = {r["id"]: r["n"] for r in number_within(df, ["a"], [SortKey(F.col("b"), False), "id"], "n").collect()}
+    for a in {r[0] for r in rows}:
+        group = sorted((r for r in rows if r[0] == a), key=lambda r: (r[1] is None, -len(r[1] or ""), r[2]))
+        assert [within[r[2]] for r in group] == list(range(1, len(group) + 1))
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
+def test_numbering_starts_no_job_and_stores_nothing(spark):
+    rows = spark.range(1000).withColumn("k", F.col("id") % 3)
+    context = spark.sparkContext
+    context.setJobGroup("numbering", "built only")
+    numbered = [number_rows(rows, ["k", "id"]), number_within(rows, ["k"], ["id"])]
+    assert not context.statusTracker().getJobIdsForGroup("numbering")
+    context.setJobGroup("other", "other")
+    for df in numbered:
+        assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_sort_order(spark):

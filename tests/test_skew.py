@@ -94,10 +94,15 @@ def test_index_job_reduces_the_hot_patient_before_the_shuffle(spark, small_parti
     assert len(docs) == OTHERS and docs[f"{HOT}|02"] == str(ROWS - 3)
 
 
+def tasks_of_hot_rows(df, hot):
+    """How many tasks hold the rows of the hot key."""
+    return df.select(hot.alias("hot"), F.spark_partition_id().alias("task")).where("hot").distinct().count()
+
+
 def test_numbering_within_a_hot_group(spark, small_partitions):
     rows = visit_rows(spark).select("IN_PATIENT_ID", F.col("VISIT_ID").cast("bigint").alias("v"), "rowkey")
-    numbered = number_within(rows, ["IN_PATIENT_ID"], [F.col("v").asc()], "n")
-    assert "SortMergeJoin(skew=true)" in final_plan(numbered.groupBy("n").agg(F.max("rowkey")))
+    numbered = number_within(rows, ["IN_PATIENT_ID"], ["v"], "n")
+    assert tasks_of_hot_rows(numbered, F.col("IN_PATIENT_ID") == HOT) >= 3
     sums = numbered.groupBy("IN_PATIENT_ID").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("last"), F.countDistinct("n").alias("distinct"))
     assert sums.where((F.col("rows") != F.col("last")) | (F.col("rows") != F.col("distinct"))).count() == 0
 
@@ -117,7 +122,7 @@ def test_multi_value_documents_with_a_hot_master(spark, small_partitions):
     assert max(sizes) == 1000 and sum(sizes) == 3 * rows.where(F.col("IN_PATIENT_ID") == HOT).count()
     masters = lookups.master_documents(rows)
     parted = lookups._in_parts(masters, 1000)
-    assert "skew=true" in final_plan(parted.groupBy("part").agg(F.max("EID")))
+    assert tasks_of_hot_rows(parted, F.col("IN_PATIENT_ID") == HOT) >= 3
 
 
 @pytest.mark.parametrize("present", [True, False])
