@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _KEY = "__join_key"
@@ -30,3 +30,14 @@ def matching(left: DataFrame, keys: DataFrame, key: str, present: bool = True, a
     how = "left_semi" if present else "left_anti"
     known = keys.where(F.col(key).isNotNull()).select(key)
     return join_by(left, known, [key], how) if aggregated else left.join(known, key, how)
+
+
+def first_by_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row per key in an order; the order settles ties.
+
+    A rank of one limits every group on the map side already, so a task hands on one
+    row per key, and whole rows are never packed into an aggregation buffer.
+    """
+    rank = "__rank"
+    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(rank) == 1).drop(rank)

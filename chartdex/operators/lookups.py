@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from chartdex.functions.blank import as_column
 from chartdex.functions.codes import INPATIENT_CODE, OUTPATIENT_CODE, PROVINCES
 from chartdex.functions.keys import SEPARATOR, in_own_prefix_range, prefix_of, rowkey_prefix
+from chartdex.operators.joins import first_by_key
 from chartdex.operators.numbering import number_within
 
 LOOKUP_KEY, _PART = "lookup_key", "part"
@@ -42,10 +43,14 @@ def _pack(*parts: Column) -> Column:
 
 def _patient_prefix(oid: str, salt_range: tuple[int, int]) -> Column:
     """The key prefix of a visit's patient."""
+    return rowkey_prefix("IN_PATIENT_ID", oid, *salt_range)
+
+
+def _checked_patients(visits: DataFrame) -> DataFrame:
+    """The visits; a patient id with the key separator fails the query. Checked once a row, as a filter."""
     patient = F.col("IN_PATIENT_ID")
-    bad = patient.contains(SEPARATOR)
-    checked = F.when(bad, F.raise_error(F.concat(F.lit("separator in patient id "), patient))).otherwise(patient)
-    return rowkey_prefix(checked, oid, *salt_range)
+    bad = F.raise_error(F.concat(F.lit("separator in patient id "), patient)).cast("boolean")
+    return visits.where(F.when(patient.contains(SEPARATOR), bad).otherwise(True))
 
 
 def routed_visits(
@@ -53,7 +58,7 @@ def routed_visits(
 ) -> DataFrame:
     """Visits of the given types with the key of their master rows; other types give no document."""
     code = F.col("VISIT_TYPE_CODE")
-    return visits.where(code.isin(codes)).withColumn(LOOKUP_KEY, _pack(_patient_prefix(oid, salt_range), code))
+    return _checked_patients(visits.where(code.isin(codes))).withColumn(LOOKUP_KEY, _pack(_patient_prefix(oid, salt_range), code))
 
 
 def master_documents(patients: DataFrame, codes: list[str] = ROUTED_CODES) -> DataFrame:
@@ -148,15 +153,15 @@ def _in_parts(masters: DataFrame, part_size: int) -> DataFrame:
 def lookup_doctors(
     visits: DataFrame, records: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE
 ) -> DataFrame:
-    """Add the doctors of the first visit record, by row key, of each visit; null where there is none."""
-    first = (
-        records.where(in_own_prefix_range("rowkey"))
-        .groupBy("VISIT_ID", prefix_of("rowkey").alias("__prefix"))
-        .agg(F.min(F.struct("rowkey", *DOCTOR_FIELDS)).alias("__first"))
-        .select(_pack(F.col("__prefix"), F.col("VISIT_ID")).alias(LOOKUP_KEY), *[F.col(f"__first.{f}") for f in DOCTOR_FIELDS])
-    )
-    keyed = visits.withColumn(LOOKUP_KEY, _pack(_patient_prefix(oid, salt_range), F.col("VISIT_ID")))
-    return keyed.join(first, LOOKUP_KEY, "left").drop(LOOKUP_KEY)
+    """Add the doctors of the first visit record, by row key, of each visit; null where there is none.
+
+    A task hands on the first record it has of each visit, so a visit with very many
+    records is no hot key after the shuffle.
+    """
+    keyed = _checked_patients(visits).withColumn(LOOKUP_KEY, _pack(_patient_prefix(oid, salt_range), F.col("VISIT_ID")))
+    own = records.where(in_own_prefix_range("rowkey")).withColumn(LOOKUP_KEY, _pack(prefix_of("rowkey"), F.col("VISIT_ID")))
+    first = first_by_key(own.select(LOOKUP_KEY, "rowkey", *DOCTOR_FIELDS), [LOOKUP_KEY], [F.asc(c) for c in ["rowkey", *DOCTOR_FIELDS]])
+    return keyed.join(first.drop("rowkey"), LOOKUP_KEY, "left").drop(LOOKUP_KEY)
 
 
 def event_lab_join(events: DataFrame, labs: DataFrame) -> DataFrame:

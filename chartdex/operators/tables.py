@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartdex.functions.blank import not_blank
-from chartdex.operators.joins import join_by, matching
+from chartdex.operators.joins import first_by_key, join_by, matching
 from chartdex.operators.numbering import number_rows
 
-_OLD, _NEW, _ROW = "__old", "__new", "__row"
+_OLD, _NEW = "__old", "__new"
 
 # Columns of the event table and of its two child tables.
 EVENT_COLUMNS = [
@@ -38,13 +38,8 @@ DUPLICATE_KEYS = ["patient_id", "visit_id", "order_no"]
 
 def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One whole row per key: the greatest by ``order``, then by the row itself."""
-    newest = F.max(_ranked(order, df.columns))[_ROW]
-    return df.groupBy(*keys).agg(newest.alias(_NEW)).select(f"{_NEW}.*")
-
-
-def _ranked(order: list[str], columns: list[str]) -> Column:
-    """A whole row behind its order columns, to take the first or last row by aggregation."""
-    return F.struct(*order, F.struct(*columns).alias(_ROW))
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    return first_by_key(df, keys, [F.desc(c) for c in [*order, *rest]])
 
 
 def _required(key: str) -> Column:
@@ -54,8 +49,8 @@ def _required(key: str) -> Column:
 
 def upsert_by_id(current: DataFrame, incoming: DataFrame, order: list[str], key: str = "id") -> DataFrame:
     """Insert or replace whole rows; among incoming rows of one key the latest wins."""
-    newest = F.max(_ranked(order, current.columns))[_ROW]
-    new = incoming.withColumn(key, _required(key)).groupBy(key).agg(newest.alias(_NEW))
+    newest = latest_by_key(incoming.withColumn(key, _required(key)), [key], order)
+    new = newest.select(key, F.struct(*current.columns).alias(_NEW))
     old = current.select(key, F.struct(*current.columns).alias(_OLD))
     return old.join(new, key, "full_outer").select(F.coalesce(_NEW, _OLD).alias(_NEW)).select(f"{_NEW}.*")
 
@@ -195,10 +190,10 @@ def append_idempotent(current: DataFrame, incoming: DataFrame, order: list[str],
 
     Two null keys are equal, so a repeated run adds nothing.
     """
-    earliest = F.min(_ranked(order, incoming.columns))[_ROW]
     # stored keys go first, as only the rest has to be ordered within its keys
     fresh = join_by(incoming, current.select(*keys).distinct(), keys, "left_anti")
-    first = fresh.groupBy(*keys).agg(earliest.alias(_NEW)).select(f"{_NEW}.*")
+    rest = [c for c in incoming.columns if c not in keys and c not in order]
+    first = first_by_key(fresh, keys, [F.asc(c) for c in [*order, *rest]])
     return current.unionByName(first.select(*current.columns))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chartdex.functions.keys import SEPARATOR, in_prefix_range, rowkey_prefix
 from chartdex.operators.filters import FilterSpec
+from chartdex.operators.joins import first_by_key
 from chartdex.operators.lookups import DOCUMENT_FIELDS, LOOKUP_KEY, SALT_RANGE, master_documents, routed_visits
 from chartdex.operators.tables import upsert_by_id
 from chartdex.sources.scans import scan_filtered
@@ -16,26 +17,18 @@ from chartdex.sources.sinks import BATCH_SIZE, write_batched
 
 # Columns read from the visit list.
 VISIT_COLUMNS = ["OID", "GLOBLE_ID", "IN_PATIENT_ID", "VISIT_ID", "VISIT_TYPE_CODE", "EID"]
-_LAST_NUMBER = 2**63 - 1
 
 
 def latest_visits(visits: DataFrame, oid: str, salt_range: tuple[int, int] = SALT_RANGE) -> DataFrame:
     """The last visit, by its number, per master lookup key.
 
     Only the visit number of a visit reaches the document, and the document of the
-    last visit wins, so earlier visits can go before the join. Visits whose id is the
-    plain text of its number are reduced by a maximum of numbers, which combines on the
-    map side without sorting; other spellings stay apart until then.
+    last visit wins, so earlier visits go before the join: a task hands on one visit per
+    patient and type, and visits are shuffled once.
     """
-    number = F.col("VISIT_ID").try_cast("bigint")
-    odd = F.when(number.cast("string").eqNullSafe(F.col("VISIT_ID")), None).otherwise(F.col("VISIT_ID"))
-    reduced = visits.groupBy("IN_PATIENT_ID", "VISIT_TYPE_CODE", odd.alias("odd")).agg(F.max(number).alias("number"))
-    spelled = F.coalesce("odd", F.col("number").cast("string")).alias("VISIT_ID")
-    last = (
-        reduced.groupBy("IN_PATIENT_ID", "VISIT_TYPE_CODE")
-        .agg(F.max(F.struct("number", spelled)).alias("last"))
-        .select("IN_PATIENT_ID", "VISIT_TYPE_CODE", "last.*")
-    )
+    number = F.col("VISIT_ID").try_cast("bigint").alias("number")
+    visit = ["IN_PATIENT_ID", "VISIT_TYPE_CODE"]
+    last = first_by_key(visits.select(*visit, "VISIT_ID", number), visit, [F.desc("number"), F.desc("VISIT_ID")])
     return routed_visits(last, oid, salt_range=salt_range).select(LOOKUP_KEY, "number", "VISIT_ID")
 
 
@@ -48,11 +41,8 @@ def index_documents(
     smallest EID and row key.
     """
     documents = latest_visits(visits, oid, salt_range).join(masters, LOOKUP_KEY)
-    # the complement orders numbers downwards without the overflow of a negation
-    newest_first = F.coalesce(F.bitwise_not("number"), F.lit(_LAST_NUMBER))
-    document = F.struct(*DOCUMENT_FIELDS[1:]).alias("doc")
-    winner = F.min(F.struct(newest_first, "EID", "master_rowkey", document))["doc"]
-    return documents.groupBy("id").agg(winner.alias("doc")).select("id", "doc.*")
+    latest = [F.desc("number"), F.asc("EID"), F.asc("master_rowkey"), *[F.asc(f) for f in DOCUMENT_FIELDS if f not in ("id", "EID")]]
+    return first_by_key(documents, ["id"], latest).select(*DOCUMENT_FIELDS)
 
 
 def patient_list_index(

@@ -48,15 +48,28 @@ def test_scans_read_only_their_columns(spark, sf_dir):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
-def test_index_job_aggregates_visits_before_the_join(spark, sf_dir):
-    plan = plan_of(QUERIES["patient_list_index"](spark, sf_dir))
-    assert plan.count("FileScan") == 2
-    assert "partial_max" in plan and "partial_min(struct" in plan
+@pytest.mark.parametrize(
+    "name", ["patient_list_index", "patient_list_index_salt", "lookup_doctors", "append_idempotent", "append_idempotent_null", "upsert_by_id"]
+)
+def test_first_rows_are_ranked_on_the_map_side(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert "SortAggregate" not in plan
+    assert "Partial" in plan and "WindowGroupLimit" in plan
 
 
-def test_visits_are_reduced_by_hashing_before_the_shuffle(spark, sf_dir):
+def test_index_job_scans_once_and_shuffles_visits_once(spark, sf_dir):
     lines = plan_of(QUERIES["patient_list_index"](spark, sf_dir)).splitlines()
+    assert sum("FileScan" in line for line in lines) == 2
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "o_orderkey" in line)
-    exchange = max(i for i in range(scan) if "Exchange" in lines[i])
-    assert any("HashAggregate" in line for line in lines[exchange:scan])
-    assert not any("SortAggregate" in line for line in lines[exchange:scan])
+    join = max(i for i in range(scan) if "Join" in lines[i])
+    between = [line for line in lines[join:scan] if "Exchange hashpartitioning" in line]
+    # one by patient and type, one by lookup key for what is left
+    assert sum("IN_PATIENT_ID" in line for line in between) == 1
+    limit = max(i for i in range(scan) if "WindowGroupLimit" in lines[i])
+    assert limit > max(i for i in range(scan) if "Exchange" in lines[i])
+
+
+def test_patient_ids_are_checked_once_a_row(spark, sf_dir):
+    plan = plan_of(QUERIES["lookup_inpatient"](spark, sf_dir))
+    filters = [line for line in plan.splitlines() if "Filter (" in line or "Project [" in line]
+    assert sum(line.count("raise_error") for line in filters) == 1
