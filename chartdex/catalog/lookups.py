@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from chartdex.catalog.registry import query, table
-from chartdex.catalog.sql_views import PREFIX_OF_PATIENT, PREFIX_OF_ROWKEY, with_views
+from chartdex.catalog.sql_views import PREFIX_OF_PATIENT, PREFIX_OF_ROWKEY, VIEWS, with_views
 from chartdex.functions import codes, keys
 from chartdex.operators import aggregates, lookups
 from chartdex.plans import index_job, views
@@ -98,21 +98,28 @@ def _(spark, sf_dir):
     return lookups.lookup_doctors(views.visits(spark, sf_dir), views.visit_records(spark, sf_dir), views.OID)
 
 
-_INDEX_SQL = with_views(
-    "patients visits",
-    f"""select id, EID, IN_PATIENT_ID, OUT_PATIENT_ID, VISIT_ID, INP_NO, OUT_NO, PERSON_NAME, SEX_CODE, SEX_NAME,
+def index_sql(visits: str = "true", patients: str = "true") -> str:
+    """The index of the visits and masters that meet a condition each."""
+    return with_views(
+        "",
+        f"""select id, EID, IN_PATIENT_ID, OUT_PATIENT_ID, VISIT_ID, INP_NO, OUT_NO, PERSON_NAME, SEX_CODE, SEX_NAME,
             ID_CARD_NO, HOME_PHONE, VISIT_TYPE_CODE, VISIT_TYPE_NAME, DATE_OF_BIRTH from (
             select d.*, row_number() over (partition by id order by cast(VISIT_ID as bigint) desc, EID, master_rowkey) as rn
             from ({_ALL_DOCUMENTS}) d) r where rn = 1""",
-)
+        f"patients as (select * from ({VIEWS['patients']}) p where {patients})",
+        f"visits as (select * from ({VIEWS['visits']}) v where {visits})",
+    )
+
+
+INDEX_SQL = index_sql()
 
 
-@query("patient_list_index", _INDEX_SQL)
+@query("patient_list_index", INDEX_SQL)
 def _(spark, sf_dir):
     return index_job.patient_list_index(*_tables(spark, sf_dir), views.OID)
 
 
-@query("patient_list_index_salt", _INDEX_SQL)
+@query("patient_list_index_salt", INDEX_SQL)
 def _(spark, sf_dir):
     # masters whose keys are salted by the first three characters of the id
     visits, patients = _tables(spark, sf_dir)

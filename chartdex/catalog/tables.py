@@ -16,11 +16,11 @@ from chartdex.sources import sinks
 _SPLIT = "2000-01-01 00:00:00"
 _BY_CUSTOMER = """select o_custkey as id, o_orderkey as last_order, o_orderpriority as priority, o_totalprice as price from (
   select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from orders where o_orderdate {0}) t where rn = 1"""
-_OLD_DOCS = _BY_CUSTOMER.format(f"< timestamp '{_SPLIT}'")
-_NEW_DOCS = _BY_CUSTOMER.format(f">= timestamp '{_SPLIT}'")
+OLD_DOCS = _BY_CUSTOMER.format(f"< timestamp '{_SPLIT}'")
+NEW_DOCS = _BY_CUSTOMER.format(f">= timestamp '{_SPLIT}'")
 
 
-def _order_docs(spark, sf_dir):
+def order_docs(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("id"),
         F.col("o_orderkey").alias("last_order"),
@@ -30,19 +30,19 @@ def _order_docs(spark, sf_dir):
     )
 
 
-def _recent():
+def recent():
     return F.col("o_orderdate") >= F.lit(_SPLIT).cast("timestamp_ntz")
 
 
 @query(
     "upsert_by_id",
-    f"select * from ({_NEW_DOCS}) n union all select * from ({_OLD_DOCS}) o where id not in (select id from ({_NEW_DOCS}) m)",
+    f"select * from ({NEW_DOCS}) n union all select * from ({OLD_DOCS}) o where id not in (select id from ({NEW_DOCS}) m)",
 )
 def _(spark, sf_dir):
-    docs = _order_docs(spark, sf_dir)
+    docs = order_docs(spark, sf_dir)
     order = ["o_orderdate", "last_order"]
-    current = tables.latest_by_key(docs.where(~_recent()), ["id"], order).drop("o_orderdate")
-    return tables.upsert_by_id(current, docs.where(_recent()), order)
+    current = tables.latest_by_key(docs.where(~recent()), ["id"], order).drop("o_orderdate")
+    return tables.upsert_by_id(current, docs.where(recent()), order)
 
 
 @query(
@@ -140,7 +140,7 @@ _PUT_SQL = """with cur as (select c_custkey as rowkey, c_name, c_mktsegment, cas
   coalesce({3}, cur.c_mktsegment) as c_mktsegment, c_nation, p_brand from cur full join chg on cur.rowkey = chg.rowkey"""
 
 
-def _put_current(spark, sf_dir):
+def put_current(spark, sf_dir):
     nation = F.col("c_nationkey").cast("string").alias("c_nation")
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("rowkey"), "c_name", "c_mktsegment", nation)
 
@@ -156,7 +156,7 @@ def _(spark, sf_dir):
         F.nullif("p_type", F.lit("ECONOMY")).alias("c_mktsegment"),
         "p_brand",
     )
-    return tables.put_cells(_put_current(spark, sf_dir), changes)
+    return tables.put_cells(put_current(spark, sf_dir), changes)
 
 
 @query(
@@ -181,7 +181,7 @@ def _(spark, sf_dir):
     return tables.put_cells(current, puts, order=["l_shipdate", "l_orderkey"])
 
 
-def _blank_changes(spark, sf_dir):
+def blank_changes(spark, sf_dir):
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("rowkey"),
         F.when(F.col("p_size") > 25, F.col("p_name")).otherwise("").alias("c_name"),
@@ -190,15 +190,17 @@ def _blank_changes(spark, sf_dir):
     )
 
 
-@query(
-    "put_nonblank",
-    _PUT_SQL.format(
-        "case when p_size > 25 then p_name else '' end", "case when p_type='ECONOMY' then ' ' else p_type end",
-        "nullif(trim(chg.c_name),'')", "nullif(trim(chg.c_mktsegment),'')",
-    ),
+BLANK_CHANGES_SQL = _PUT_SQL.format(
+    "case when p_size > 25 then p_name else '' end",
+    "case when p_type='ECONOMY' then ' ' else p_type end",
+    "nullif(trim(chg.c_name),'')",
+    "nullif(trim(chg.c_mktsegment),'')",
 )
+
+
+@query("put_nonblank", BLANK_CHANGES_SQL)
 def _(spark, sf_dir):
-    return tables.put_nonblank(_put_current(spark, sf_dir), _blank_changes(spark, sf_dir))
+    return tables.put_nonblank(put_current(spark, sf_dir), blank_changes(spark, sf_dir))
 
 
 @query(
@@ -206,7 +208,7 @@ def _(spark, sf_dir):
     """select p_partkey as rowkey, cast(1 + (p_size > 25)::int + (p_type <> 'ECONOMY')::int as bigint) as cells_written from part""",
 )
 def _(spark, sf_dir):
-    return tables.nonblank_cells(_blank_changes(spark, sf_dir)).select("rowkey", "cells_written")
+    return tables.nonblank_cells(blank_changes(spark, sf_dir)).select("rowkey", "cells_written")
 
 
 _EVENT_FIELDS = ", ".join(tables.EVENT_COLUMNS)
