@@ -109,6 +109,19 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", _squeezed(text.json_to_xml(body, "k bigint")).alias("xml"))
 
 
+@query(
+    "json_to_xml_any_shape",
+    """select event_id, case when event_type <> 'error' then '<o><id>'||cast(event_id as varchar)||'</id><l>1</l><l null="true"/><l><t>'||event_type
+       ||'</t></l><p><k>'||json_extract_string(props,'$.k')||'</k></p></o>' end as xml from events""",
+)
+def _(spark, sf_dir):
+    # objects in arrays in objects, a null and numbers; every event has a record of its own
+    items = F.array(F.lit("1"), F.lit("null"), F.concat(F.lit('{"t":"'), "event_type", F.lit('"}')))
+    fields = [F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"p":'), F.col("props"), F.lit(',"l":['), F.array_join(items, ","), F.lit("]}")]
+    body = F.when(F.col("event_type") == "error", "{bad").otherwise(F.concat(*fields))
+    return table(spark, sf_dir, "events").select("event_id", text.json_to_xml(body).alias("xml"))
+
+
 @query(
     "map_to_xml",
     """select p_partkey, '<node><key label="name">'||p_name||'</key><key label="type">'||coalesce(nullif(p_type,'ECONOMY'),'null')

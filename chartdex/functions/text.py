@@ -152,10 +152,58 @@ def record_to_json(*columns: str, excluded: Sequence[str] = JSON_EXCLUDED) -> Co
     return rows_to_json(F.struct(*[c for c in columns if c not in excluded]))
 
 
-def json_to_xml(value, schema: str, row_tag: str = "o") -> Column:
-    """JSON text of a known schema as XML text without a declaration; null for bad text."""
-    parsed = F.from_json(as_column(value), schema)
-    return F.when(F.get_json_object(as_column(value), "$").isNotNull(), F.to_xml(parsed, {"rowTag": row_tag}))
+#: Levels of objects and arrays that ``json_to_xml`` follows.
+JSON_DEPTH = 12
+_ITEM = "item"
+
+
+def _escaped(text: Column) -> Column:
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(char), F.lit(entity))
+    return text
+
+
+def _element_name(key: Column) -> Column:
+    """A key as an XML name: other characters as ``_``, and one more in front where a name may not begin so."""
+    name = F.regexp_replace(key, r"[^\p{L}\p{N}_.\-]", "_")
+    return F.when(name.rlike(r"^[\p{L}_]"), name).otherwise(F.concat(F.lit("_"), name))
+
+
+def json_to_xml(value, schema: str | None = None, row_tag: str = "o", depth: int = JSON_DEPTH) -> Column:
+    """JSON text as XML text without a declaration; null for bad text.
+
+    With a schema, the record of that schema. Without one, JSON of any shape: an object becomes an element per key, in the order of the keys; an array under a key
+    repeats the element of the key, elsewhere its items are called ``item``. A null is an
+    element with ``null="true"``; an empty object or array an empty element. Objects and
+    arrays nested deeper than ``depth`` fail the query.
+    """
+    if schema is not None:
+        parsed = F.from_json(as_column(value), schema)
+        return F.when(F.get_json_object(as_column(value), "$").isNotNull(), F.to_xml(parsed, {"rowTag": row_tag}))
+    return _xml_element(F.lit(row_tag), F.try_parse_json(as_column(value)), depth)
+
+
+def _xml_element(tag: Column, value: Column, depth: int) -> Column:
+    items = F.try_variant_get(value, "$", "array<variant>")
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
+
+    def named(name: Column, values: Column) -> Column:
+        return F.transform(values, lambda x: F.struct(name.alias("tag"), x.alias("value")))
+
+    def of_key(entry: Column) -> Column:
+        inner = F.try_variant_get(entry["value"], "$", "array<variant>")
+        repeated = F.when(F.size(inner) > 0, inner).otherwise(F.array(entry["value"]))
+        return named(_element_name(entry["key"]), repeated)
+
+    children = F.when(fields.isNotNull(), F.flatten(F.transform(F.map_entries(fields), of_key))).otherwise(named(F.lit(_ITEM), items))
+    if depth == 0:
+        body = F.when(F.size(children) > 0, F.raise_error(F.lit("JSON is nested too deeply for XML")).cast("string")).otherwise("")
+    else:
+        body = F.array_join(F.transform(children, lambda c: _xml_element(c["tag"], c["value"], depth - 1)), "")
+    text = F.when(children.isNotNull(), body).otherwise(_escaped(F.try_variant_get(value, "$", "string")))
+    whole = F.concat(F.lit("<"), tag, F.lit(">"), text, F.lit("</"), tag, F.lit(">"))
+    nothing = F.concat(F.lit("<"), tag, F.lit(' null="true"/>'))
+    return F.when(value.isNull(), F.lit(None)).when(F.is_variant_null(value), nothing).otherwise(whole)
 
 
 def map_to_xml(entries) -> Column:

@@ -258,6 +258,31 @@ def test_xml(value):
     assert value(text.json_to_xml(col("bad"), "k int")) is None
 
 
+@pytest.mark.parametrize(
+    "text_in, xml",
+    [
+        ('{"k":1,"b":"x<&"}', "<o><b>x&lt;&amp;</b><k>1</k></o>"),
+        ('{"a":{"b":[1,{"c":null}],"z z":[],"1e":{}},"t":true}', '<o><a><_1e></_1e><b>1</b><b><c null="true"/></b><z_z></z_z></a><t>true</t></o>'),
+        ("[1,[2,3],null]", '<o><item>1</item><item><item>2</item><item>3</item></item><item null="true"/></o>'),
+        ('{"a":[[1,2],[3]]}', "<o><a><item>1</item><item>2</item></a><a><item>3</item></a></o>"),
+        ("7", "<o>7</o>"),
+        ("null", '<o null="true"/>'),
+        ("{}", "<o></o>"),
+        ("bad", None),
+        (None, None),
+    ],
+)
+def test_json_of_any_shape_to_xml(value, text_in, xml):
+    assert value(text.json_to_xml(F.lit(text_in).cast("string"))) == xml
+
+
+def test_json_nested_too_deeply_for_xml(value):
+    nested = F.lit('{"a":{"b":{"c":1}}}')
+    assert value(text.json_to_xml(nested, depth=3)) == "<o><a><b><c>1</c></b></a></o>"
+    with pytest.raises(Exception, match="too deeply"):
+        value(text.json_to_xml(nested, depth=2))
+
+
 def test_maps(value):
     entries = F.create_map(F.lit("a"), F.lit(""), F.lit("b"), F.lit(None).cast("string"), F.lit("c"), F.lit("x"))
     assert value(reshape.put_to_map(entries)) == {"c": "x"}
