@@ -11,8 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     """All queries, and the SQL of those that have one, by name."""
-    from chartdex.catalog import dates, filters, lookups, refresh, reshape, scans, sorting, tables, text
+    from chartdex.catalog import dates, filters, lookups, refresh, reshape, scans, sorting, tables, text, wide_scans
     from chartdex.catalog.registry import ORACLES, QUERIES
 
-    assert all((scans, tables, filters, reshape, lookups, refresh, sorting, dates, text))
+    assert all((scans, tables, filters, reshape, lookups, refresh, sorting, dates, text, wide_scans))
     return dict(QUERIES), dict(ORACLES)
