@@ -115,7 +115,7 @@ def dedup_lines(
         lines.select("r1", "r2", "pos", "h1", "h2")
         .join(runs.frequent(), ["h1", "h2"])
         .groupBy("r1", "r2")
-        .agg(F.array_distinct(F.collect_list("pos")).alias("lost"))
+        .agg(F.collect_set("pos").alias("lost"))  # of all copies of a row no more places than it has lines
     )
     doc = docs.select(F.struct("*").alias("doc"))
     own1, own2 = row_key(F.col("doc")[id_col], F.col("doc")[text_col])
