@@ -132,8 +132,8 @@ def mix_documents(
         "plan",
     )
 
-    # 53 random bits from id and seed, strictly between 0 and 1
-    bits = F.shiftright(F.xxhash64(F.lit(seed), F.col("id").isNull(), "id"), 11).cast("double") + F.lit(2.0**52)
+    # 53 random bits from row and seed, strictly between 0 and 1; rows of one id, or without one, draw apart
+    bits = F.shiftright(F.xxhash64(F.lit(seed), F.col("id").isNull(), "id", "r1", "r2"), 11).cast("double") + F.lit(2.0**52)
     u = (bits + 0.5) / F.lit(2.0**53)
     p = F.col("chance")
     # odds / (1 + odds): the same order, within 0 and 1
