@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from chartdex.plans.views import table
 
+_ZONE = "spark.sql.session.timeZone"
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,9 +17,13 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
 
         def run(spark, sf_dir):
-            # texts with times are written in UTC on both sides
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
+            # texts with times are written in UTC on both sides; expressions keep the zone they were built in
+            zone = spark.conf.get(_ZONE)
+            spark.conf.set(_ZONE, "UTC")
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                spark.conf.set(_ZONE, zone)
 
         QUERIES[name] = run
         if sql is not None:
