@@ -18,7 +18,9 @@
 4. The rest is confirmed on the full sets: first each class with its most similar
    partner, then the best pair between every two groups formed so far, then all pairs
    that still lie between different groups. Pairs inside a group would not change the
-   result. Groups are components of the confirmed links.
+   result. Groups are components of the confirmed links. A pair that failed in an early
+   turn is compared once more in the last one: that costs less than to look up, for every
+   pair at hand, whether it was tried.
 5. A second, deeper forest over the classes that had a candidate looks for links between
    different groups only: in a dense region, where many classes share long prefixes, the
    few partners of an outlier need more orders and longer keys to come next to it. Here a
@@ -294,23 +296,33 @@ def _best(pairs: DataFrame, by: list[Column]) -> DataFrame:
 
 
 def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many MinHash values two signatures of a row share."""
+    """How many MinHash values a signature shares with the samples beside it, in sum."""
     for batch in batches:
-        one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, HASHES) for k in (2, 3))
-        same = pa.array((one == two).sum(axis=1, dtype=np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), same], names=["node", "grp", "same"])
-
-
-def _hubs(members: DataFrame, samples: int, hubs: int) -> DataFrame:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            own = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint16).reshape(-1, HASHES)
+            samples = part.column(3)
+            counts = samples.value_lengths().to_numpy()
+            row = np.repeat(np.arange(part.num_rows), counts)
+            other = np.frombuffer(b"".join(samples.flatten().to_pylist()), np.uint16).reshape(-1, HASHES)
+            same = np.bincount(row, (own[row] == other).sum(axis=1), part.num_rows).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same)], names=["node", "grp", "same"])
+
+
+def _hubs(work: Workspace, members: DataFrame, samples: int, hubs: int) -> DataFrame:
     """(grp, hub): the members of each group that agree most with ``samples`` of its members.
 
-    Such as the text that the others were made from. ``members``: (node, grp, sig).
+    Such as the text that the others were made from. ``members``: (node, grp, sig). The
+    samples of a group are one row, and nothing after the join needs its groups together,
+    so that adaptive execution can split a large group over tasks; both ranks drop all
+    but the first rows before their shuffle.
     """
     in_group = Window.partitionBy("grp")
     drawn = F.row_number().over(in_group.orderBy(F.xxhash64("node"), "node"))
-    some = members.withColumn("rank", drawn).where(F.col("rank") <= samples).select("grp", F.col("sig").alias("sample"))
-    both = members.join(some, "grp").select("node", "grp", "sig", "sample")
-    agreed = both.mapInArrow(_agreement, "node bigint, grp bigint, same bigint").groupBy("node", "grp").agg(F.sum("same").alias("same"))
+    some = members.withColumn("rank", drawn).where(F.col("rank") <= samples)
+    some = work.cut(some.groupBy("grp").agg(F.collect_list("sig").alias("samples")), "hub-samples")
+    both = members.join(some, "grp").select("node", "grp", "sig", "samples")
+    agreed = work.cut(both.mapInArrow(_agreement, "node bigint, grp bigint, same bigint"), "hub-agreed")
     rank = F.row_number().over(in_group.orderBy(F.col("same").desc(), "node"))
     return agreed.withColumn("rank", rank).where(F.col("rank") <= hubs).select("grp", F.col("node").alias("hub"))
 
@@ -332,7 +344,8 @@ def _hub_pairs(work: Workspace, apart: DataFrame, roots: DataFrame, classes: Dat
     )
     asked = work.cut(asked.distinct(), "hub-asked")
     members = _follow(classes.select("node", F.col("node").alias("grp"), "sig"), "grp", roots)
-    named = _hubs(members.join(asked.select("grp").distinct(), "grp", "left_semi"), SAMPLES, HUBS)
+    groups = work.cut(asked.select("grp").distinct(), "hub-groups")
+    named = _hubs(work, work.cut(members.join(groups, "grp", "left_semi"), "hub-members"), SAMPLES, HUBS)
     met = asked.join(named, "grp").where("node <> hub")
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
@@ -351,7 +364,7 @@ def linked_groups(
 
     ``pairs``: (a, b, apart, tried). ``roots``: groups found before, among ``classes``.
     Each turn confirms a choice of the pairs that still lie between groups and were not
-    tried; the last one is ``rest``, all of them.
+    tried in an earlier call; the last one is ``rest``, all of them.
     """
     left = pairs
     for turn in turns:
@@ -373,10 +386,6 @@ def linked_groups(
         links = work.cut(_confirmed(chosen, sets, percent), f"{name}-{turn}-links")
         if turn == "rest":
             left = left.withColumn("tried", F.lit(True))
-        else:
-            asked = chosen.select(F.col("a").alias("__a"), F.col("b").alias("__b"))
-            same = (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b"))
-            left = left.join(asked, same, "left").withColumn("tried", F.col("tried") | F.col("__a").isNotNull()).drop("__a", "__b")
         if roots is not None:
             links = _follow(_follow(links, "a", roots), "b", roots)
         steps = components(work, links, f"{name}-{turn}")
