@@ -29,12 +29,16 @@
 
 A pair at the threshold is missed only if it is apart in all orders of both forests.
 Only classes that have a candidate send their sets. Ids are expected to be unique.
+In the forest a class goes by its smallest id; one without any id by a hash of its set,
+so that it links others all the same.
 
 Defined cases: a text with fewer words than a shingle is one shingle; without words it
 has size 0, is linked with nothing and its own component; a row repeated as a whole
 falls into one class with itself; rows of one id with different texts are one document
-when they are linked; a null id never becomes a component unless the whole class has
-none; an empty table gives no rows; other columns are ignored.
+when they are linked; documents without an id join the component of their links, and
+none of them is kept if it has an id; a component without any id is null, and the row
+of the smallest row key is kept of it; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -406,7 +410,10 @@ def near_duplicates(
     forests: tuple[Forest, Forest] = (WIDE, DEEP),
     window: int = WINDOW,
 ) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept (the smallest id of its component), r1, r2 (row key)."""
+    """One row per document: id, n_shingles, component_id, kept (the smallest id of its component), r1, r2 (row key).
+
+    Without an id ``kept`` is true for one row of a component that has none.
+    """
     work = Workspace(docs.sparkSession, "near")
     r1, r2 = row_key(F.col(id_col), F.col(text_col))
     texts = docs.select(
@@ -416,18 +423,22 @@ def near_duplicates(
         texts.mapInArrow(_signatures(shingle), "id bigint, r1 bigint, r2 bigint, n bigint, s1 bigint, s2 bigint, sig binary"),
         "signatures",
     )
+    least = lambda c: F.min(c).alias(c)
+    keyed = signed.where("n > 0").withColumn("row", F.struct("r1", "r2"))
+    hashed = F.shiftrightunsigned("s1", 2).bitwiseOR(F.lit(1 << 62))  # beyond any usual id
     classes = work.cut(
-        signed.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("node"), F.min("n").alias("n"), F.min("sig").alias("sig")),
+        keyed.groupBy("s1", "s2").agg(least("id"), least("n"), least("sig"), least("row")).withColumn("node", F.coalesce("id", hashed)),
         "classes",
     )
-    named = classes.where(F.col("node").isNotNull()).select("node", F.col("node").alias("grp"), "n", "sig")
+    named = classes.select("node", F.col("node").alias("grp"), "n", "sig")
     pairs = candidate_pairs(work, named, percent, forests[0], window, "first", min(FIRST, window))
-    active = work.cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "active")
+    active = work.cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "active")
+    asked = work.cut(classes.join(active, "node", "left_semi").select("row.r1", "row.r2", "node"), "asked")
     sets = work.cut(
-        texts.join(active, "id", "left_semi").select("id", "text").mapInArrow(_sets(shingle), "node bigint, items array<bigint>"),
+        texts.join(asked, ["r1", "r2"]).select("node", "text").mapInArrow(_sets(shingle), "node bigint, items array<bigint>"),
         "sets",
     )
-    met = named.join(active.select(F.col("id").alias("node")), "node", "left_semi")
+    met = named.join(active, "node", "left_semi")
     untried = pairs.where("a < b").withColumn("tried", F.lit(False))
     roots, left = linked_groups(work, untried, sets, percent, ("partner", "group", "rest"), "first")
     for forest, turns, name in ((forests[0], ("group", "rest"), "wide"), (forests[1], ("hub", "rest"), "deep")):
@@ -435,15 +446,23 @@ def near_duplicates(
         found = candidate_pairs(work, dense, percent, forest, window, name).withColumn("tried", F.lit(False))
         both = left.union(found).groupBy("a", "b").agg(F.min("apart").alias("apart"), F.max("tried").alias("tried"))
         roots, left = linked_groups(work, both, sets, percent, turns, name, roots, dense)
-    component = _follow(classes.select("s1", "s2", F.col("node").alias("component_id")), "component_id", roots)
-    labels = work.cut(component, "labels")
-    joined = signed.select("id", "r1", "r2", "n", "s1", "s2").join(labels, ["s1", "s2"], "left")
+    led = _follow(classes.select("s1", "s2", "id", "row", "node", F.col("node").alias("root")), "root", roots)
+    led = work.cut(led, "led")
+    nameless = led.where("id is null and node = root").select("root").distinct()
+    renamed = led.join(nameless, "root", "left_semi").groupBy("root").agg(least("id"))
+    renamed = work.cut(renamed.select("root", F.col("id").alias("smallest"), F.lit(True).alias("renamed")), "renamed")
+    component_id = F.when(F.col("renamed"), F.col("smallest")).otherwise(F.col("root"))
+    first = F.when(component_id.isNull() & (F.col("node") == F.col("root")), F.col("row"))
+    labels = led.join(renamed, "root", "left").select("s1", "s2", component_id.alias("component_id"), first.alias("first"))
+    joined = signed.select("id", "r1", "r2", "n", "s1", "s2").join(work.cut(labels, "labels"), ["s1", "s2"], "left")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    nobody = F.when(F.col("n") > 0, F.struct("r1", "r2").eqNullSafe(F.col("first"))).otherwise(True)
+    kept = F.when(F.col("id").isNull(), nobody).otherwise(F.col("id").eqNullSafe(component_id))
     return joined.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         component_id.alias("component_id"),
-        F.col("id").eqNullSafe(component_id).alias("kept"),
+        kept.alias("kept"),
         "r1",
         "r2",
     )

@@ -107,6 +107,27 @@ def test_near_dedup(docs, empty):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "2", "3", "4", "5", "7", "None"])
 
 
+def test_near_dedup_without_ids(spark):
+    """Documents without an id link others, and of those that have only such links one stays."""
+    base = [f"w{i}" for i in range(200)]
+
+    def text(*changed):
+        return " ".join("x" + w if i in changed else w for i, w in enumerate(base))
+
+    def groups(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in near_dedup.near_duplicates(docs, 3, 85).collect())
+        kept = near_dedup.drop_near_duplicates(docs, shingle=3, percent=85).collect()
+        return got, sorted(str(r["doc_id"]) for r in kept)
+
+    one, bridge, two = text(*range(10)), text(), text(*range(100, 110))  # one and two are linked with the bridge only
+    assert groups([(None, one), (None, bridge), (3, two)]) == ([("3", "3", True), ("None", "3", False), ("None", "3", False)], ["3"])
+    assert groups([(7, one), (None, bridge), (9, two)]) == ([("7", "7", True), ("9", "7", False), ("None", "7", False)], ["7"])
+    got, kept = groups([(None, one), (None, bridge), (None, bridge), (None, two), (4, "quite another text")])
+    assert kept == ["4", "None"] and [c for i, c, _ in got] == ["4", "None", "None", "None", "None"]
+    assert groups([((1 << 62) + 5, one), (None, bridge), (-9, two)])[1] == ["-9"]
+
+
 def test_quality(docs, empty):
     got = {str(r["doc"]["doc_id"]): r for r in quality.quality_ledger(docs).collect()}
     assert len(got) == 8 and got["2"]["n_words"] == got["3"]["n_words"] == 0
