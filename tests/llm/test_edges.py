@@ -1,7 +1,10 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names for every operator."""
 
 import hashlib
+import sys
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +98,26 @@ def test_mix_meets_its_targets(spark):
         assert abs(r["w"] - want) <= 100
 
 
+@pytest.mark.parametrize("lengths", [(1e200, 1e200), (1e-170, 1e-170), (1e200, 1e-200), (1e150, 1e-3), (1.5e308, 5e-324)])
+def test_nearest_of_extreme_lengths(spark, lengths):
+    """Squares beyond the range of doubles: every query has its results, by the products in double precision."""
+    rng = np.random.default_rng(3)
+    x = rng.uniform(-1, 1, (60, 4))
+    x[::2] *= lengths[0]
+    x[1::2] *= lengths[1]
+    x = np.where((x == 0).all(axis=1)[:, None], lengths[1], x)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = nearest.nearest_neighbours(table, F.col("vec_id") % 20 == 0, k=5, list_size=10).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in found) == [(q, k) for q in (0, 20, 40) for k in range(1, 6)]
+    for r in found:
+        terms = [Fraction(float(a)) * Fraction(float(b)) for a, b in zip(x[r["query_id"]], x[r["vec_id"]])]
+        true, bound = sum(terms), Fraction(sys.float_info.max)
+        if abs(true) > bound:
+            assert r["score"] == (np.inf if true > 0 else -np.inf)
+        else:
+            assert abs(Fraction(r["score"]) - true) <= sum(map(abs, terms)) / 10**15 + Fraction(5e-323)
+
+
 def test_near_dedup(docs, empty):
     got = near_dedup.near_duplicates(docs, shingle=3, percent=85)
     found = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in got.collect())
