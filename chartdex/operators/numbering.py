@@ -52,6 +52,11 @@ def key_of(keys: Sequence[SortKey]) -> Column:
 
 def precedes(keys: Sequence[SortKey], left: Column, right: Column) -> Column:
     """Does ``left`` stand strictly before ``right``? Both are structs of ``key_of``."""
+    # structs compare field by field, null first: one comparison where all keys go that way or the other
+    if all(k.ascending and k.nulls_come_first for k in keys):
+        return left < right
+    if not any(k.ascending or k.nulls_come_first for k in keys):
+        return left > right
     before = F.lit(False)
     for i, k in reversed(list(enumerate(keys))):
         a, b = left[f"k{i}"], right[f"k{i}"]
@@ -82,17 +87,23 @@ def _in_buckets(df: DataFrame, keys: Sequence[SortKey]) -> DataFrame:
     """Rows with their key, the borders, and their bucket: how many borders do not stand after the key.
 
     A bisection, one step after the other: each looks at one border and moves behind it or
-    stays. The steps are columns of their own, so that each is computed once.
+    stays. The step is written once, as a fold over the widths: one expression per step would
+    let the optimizer put each into the next, and the plan would grow with a power of the buckets.
     """
     buckets = _bucket_count(df)
-    at, steps = F.lit(0), []
-    for bit in reversed(range((buckets - 1).bit_length())):
-        border, moved = f"{_BORDERS}{bit}", f"{_BUCKET}{bit}"
-        # no border: past the last one
-        passed = F.col(border).isNotNull() & ~precedes(keys, F.col(_KEY), F.col(border))
-        steps += [F.get(_BORDERS, at + ((1 << bit) - 1)).alias(border), (at + F.when(passed, 1 << bit).otherwise(0)).alias(moved)]
-        at = F.col(moved)
-    placed = df.select("*", key_of(keys).alias(_KEY), _borders(df, keys, buckets).alias(_BORDERS), *steps, at.alias(_BUCKET))
+    widths = F.array(*[F.lit(1 << bit) for bit in reversed(range((buckets - 1).bit_length()))])
+
+    def place(key: Column) -> Column:
+        def step(at: Column, width: Column) -> Column:
+            border = F.get(_BORDERS, at + width - 1)
+            # no border: past the last one
+            return at + F.when(border.isNotNull() & ~precedes(keys, key, border), width).otherwise(0)
+
+        return F.aggregate(widths, F.lit(0), step)
+
+    keyed = df.select("*", key_of(keys).alias(_KEY), _borders(df, keys, buckets).alias(_BORDERS))
+    # over an array of one key, so that the key is computed once and not in every comparison
+    placed = keyed.withColumn(_BUCKET, F.get(F.transform(F.array(_KEY), place), F.lit(0)))
     return placed.select(*df.columns, _KEY, _BORDERS, _BUCKET)
 
 

@@ -310,3 +310,21 @@ def test_exists_count(spark):
     asked = spark.createDataFrame([("p", "v", "N1"), ("p", "v", "N1"), ("p", "v", "N9")], "patient_id string, visit_id string, order_no string")
     counts = {r["order_no"]: r["cnt"] for r in lookups.exists_count(asked, events, labs).collect()}
     assert counts == {"N1": 3, "N9": 0}
+
+
+@pytest.mark.parametrize("partitions", [64, 211])
+def test_numbering_plan_does_not_grow_with_a_power_of_the_partitions(spark, partitions):
+    name = F.when(F.col("id") % 3 == 0, " ").otherwise(F.concat(F.lit("n"), (F.col("id") % 100).cast("string")))
+    rows = spark.range(2000).select("id", name.alias("name")).repartition(4)
+    order = [SortKey(F.when(F.trim("name") == "", "").otherwise(F.col("name")), False), "id"]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for numbered in (number_rows(rows, order, "n"), number_within(rows, ["name"], ["id"], "n")):
+            assert len(numbered._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+        got = {r["id"]: r["n"] for r in number_rows(rows, order, "n").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    text = lambda i: "" if i % 3 == 0 else f"n{i % 100}"
+    # a stable sort, also in reverse: equal texts stay by id
+    assert [got[i] for i in sorted(range(2000), key=text, reverse=True)] == list(range(1, 2001))
