@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from chartdex.catalog import load
 from chartdex.operators.numbering import SortKey
 from chartdex.operators.patterns import contains_any, patterns_in
 from chartdex.sources import paging, sinks
@@ -62,6 +63,19 @@ def test_a_prefix_scan_skips_what_lies_between(spark, tmp_path):
     assert "PushedFilters: [Or(" in plan_of(found)
 
 
+def test_all_pages_are_one_numbering(spark, sf_dir):
+    rows = [(i, None if i % 6 == 0 else i * 7 % 11) for i in range(100)]
+    index = spark.createDataFrame(rows, "id long, g int").repartition(3)
+    sort = [SortKey(F.col("g"), ascending=False)]
+    whole = [r["id"] for r in index.orderBy(F.col("g").desc_nulls_last(), "id").collect()]
+    for size in (1, 7, 100, 101):
+        got = {r["id"]: r["page"] for r in paging.all_pages(index, [], sort, ["id"], size).collect()}
+        assert got == {i: n // size for n, i in enumerate(whole)}
+    assert paging.all_pages(index.where("false"), [], sort, ["id"], 5).count() == 0
+    # a page more is no scan more
+    assert "Union" not in plan_of(load()[0]["search_index_pages"](spark, sf_dir))
+
+
 @pytest.mark.parametrize("ascending, nulls_first", [(True, None), (True, False), (False, None), (False, True)])
 def test_pages_give_every_match_once(spark, ascending, nulls_first):
     rows = [(i, None if i % 6 == 0 else i * 7 % 11, float("nan") if i % 9 == 0 else None if i % 4 == 0 else i % 3 / 2) for i in range(100)]
