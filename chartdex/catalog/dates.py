@@ -144,7 +144,7 @@ def _(spark, sf_dir):
         "earlier": dates.shift_ts("ts", F.col("diff")),
         "next_month": dates.shift_ts("ts", "1M", "add"),
     }
-    return rows.select("event_id", *[F.date_format(c, dates.TIMESTAMP_FORMAT).alias(n) for n, c in shifted.items()])
+    return rows.select("event_id", *[dates.plain_text(c).alias(n) for n, c in shifted.items()])
 
 
 # whole milliseconds, cut off rather than rounded, as times in stored text have no finer unit

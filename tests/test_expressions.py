@@ -2,12 +2,16 @@
 
 import datetime as dt
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from chartdex.catalog import load
 from chartdex.functions import blank, codes, dates, keys, text
 from chartdex.operators import ordering, reshape
 from chartdex.operators.lookups import enum_label, province_by_id
+from tests.compare import problem
 
 SPACE = "　"
 
@@ -177,6 +181,36 @@ def test_shift_ts(value, start, diff, direction, expected):
     assert value(F.date_format(moved, dates.TIMESTAMP_FORMAT)) == expected
 
 
+@pytest.mark.parametrize(
+    "start, diff, expected",
+    [
+        ("2024-02-29 23:00:01", "1024Y", "1000-02-28 23:00:01"),
+        ("2024-02-29 23:00:01", "2023Y", "0001-02-28 23:00:01"),
+        ("2024-02-29 23:00:01", "2024Y", "0000-02-29 23:00:01"),
+        ("2024-02-29 23:00:01", "2025Y", "-1-02-28 23:00:01"),
+        ("2024-02-29 23:00:01", "3000Y", "-976-02-29 23:00:01"),
+        ("2024-02-29 23:00:01", "9000Y", "-6976-02-29 23:00:01"),
+        ("2024-02-29 23:00:01", "-7975Y", "9999-02-28 23:00:01"),
+        ("2024-02-29 23:00:01", "-7976Y", "10000-02-29 23:00:01"),
+        ("2024-02-29 23:00:01", "-89999Y", "92023-02-28 23:00:01"),
+    ],
+)
+def test_years_of_any_length_as_text(value, start, diff, expected):
+    assert value(dates.plain_text(dates.shift_ts(F.lit(start).cast("timestamp"), diff))) == expected
+
+
+def test_shift_ts_agrees_with_its_sql_on_far_years(spark, tmp_path):
+    steps = [0, 1, 999, 2023, 2024, 2025, 2900, 9000, 89999]
+    at, path = dt.datetime(2024, 1, 30, 12, 0, 5, 250000), tmp_path / "events.parquet"
+    # every step meets every unit
+    rows = {"event_id": range(63), "ts": [at] * 63, "user_id": [n for n in steps for _ in range(7)]}
+    pd.DataFrame(rows).astype({"ts": "datetime64[us]"}).to_parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{path}'")
+    queries, oracles = load()
+    assert problem(spark, con, str(tmp_path), queries["shift_ts"], oracles["shift_ts"]) is None
+
+
 def test_diff_format_parse_shift_today(value):
     begin, end = (F.lit(t).cast("timestamp") for t in ("2024-01-01 00:00:00", "2024-01-02 01:00:00"))
     assert [value(dates.diff_ts(begin, end, u)) for u in "DHmSx"] == [1, 25, 1500, 90000, 0]
