@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 _KEY = "__join_key"
 
 
-def join_by(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def join_by(left: DataFrame, right: DataFrame, keys: list[str], how: str, hashed: bool = False) -> DataFrame:
     """Join on equal keys, two nulls being equal; the key columns of ``left`` are kept.
 
     Adaptive execution splits a frequent key over tasks only where both sides enter
     the join straight from a shuffle. A side aggregated by the same columns is
     already partitioned by them and would not, so the join runs on a struct of the
-    columns, by which no side is partitioned yet.
+    columns, by which no side is partitioned yet. ``hashed`` builds a hash table of a
+    partition of ``right``, which then has to have few rows per key, instead of sorting both.
     """
     packed = F.struct(*keys).alias(_KEY)
     others = [c for c in right.columns if c not in keys]
-    return left.withColumn(_KEY, packed).join(right.select(packed, *others), _KEY, how).drop(_KEY)
+    other = right.select(packed, *others)
+    return left.withColumn(_KEY, packed).join(other.hint("shuffle_hash") if hashed else other, _KEY, how).drop(_KEY)
 
 
 def matching(left: DataFrame, keys: DataFrame, key: str, present: bool = True, aggregated: bool = False) -> DataFrame:

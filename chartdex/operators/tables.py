@@ -161,7 +161,7 @@ def with_event_keys(new_rows: DataFrame, events: DataFrame, natural_key: list[st
     several = F.raise_error(F.concat(F.lit("several events share "), F.to_json(F.struct(*natural_key))))
     one = F.when(F.min(EVENT_KEY) == F.max(EVENT_KEY), F.min(EVENT_KEY)).otherwise(several.cast("bigint"))
     keys = events.groupBy(*natural_key).agg(one.alias(EVENT_KEY))
-    return join_by(new_rows.drop(EVENT_KEY), keys, natural_key, "left")
+    return join_by(new_rows.drop(EVENT_KEY), keys, natural_key, "left", hashed=True)
 
 
 def without_event(keyed_rows: DataFrame) -> DataFrame:

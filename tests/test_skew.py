@@ -140,3 +140,16 @@ def test_upsert_with_a_hot_id(spark, small_partitions):
     current = spark.createDataFrame([(HOT, -1), ("kept", -2)], "id string, v bigint")
     after = {r["id"]: r["v"] for r in tables.upsert_by_id(current, visits, ["v"]).collect()}
     assert after[HOT] == ROWS - 3 and after["kept"] == -2 and len(after) == OTHERS + 1
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_children_of_a_hot_event_or_of_none_are_split_and_not_sorted(spark, small_partitions, known):
+    children = visit_rows(spark).select(F.col("IN_PATIENT_ID").alias("natural"), "rowkey")
+    events = master_rows(spark).select(F.col("IN_PATIENT_ID").alias("natural"), F.monotonically_increasing_id().alias("pk_event_id"))
+    keyed = tables.with_event_keys(children, events if known else events.where(F.col("natural") != HOT), ["natural"])
+    counted = keyed.groupBy("pk_event_id").agg(F.count(F.lit(1)).alias("n"), F.max("rowkey"))
+    plan = final_plan(counted)
+    assert "ShuffledHashJoin(skew=true)" in plan and "SortMergeJoin" not in plan
+    assert keyed.count() == ROWS
+    found = {r["pk_event_id"]: r["n"] for r in counted.collect()}
+    assert len(found) == OTHERS and max(found.values()) >= ROWS // 3 and (None in found) != known
