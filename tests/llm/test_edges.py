@@ -246,3 +246,15 @@ def test_kept_text_hash(docs):
     got = line_dedup.dedup_lines(docs, min_docs=100).select("doc.text", "kept_text").collect()
     digest = lambda s: hashlib.sha256((s or "").encode()).hexdigest()
     assert all(digest(r["text"]) == digest(r["kept_text"]) for r in got)
+
+
+@pytest.mark.parametrize("pieces", [1, 1024])
+def test_texts_without_candidates_stay_out_of_the_shuffle(spark, monkeypatch, pieces):
+    monkeypatch.setattr(near_dedup, "PIECES", pieces)
+    rows = spark.range(100_000).select(F.xxhash64("id").alias("r1"), "id")
+    keys = rows.where("id % 20 = 0").select("r1")
+    found = near_dedup._likely(rows, keys, "r1", 5000)
+    ids = {r["id"] for r in found.collect()}
+    assert found.columns == rows.columns and ids >= set(range(0, 100_000, 20))
+    assert len(ids) < (13_000 if pieces > 1 else 25_000)
+    assert near_dedup._likely(rows, keys.where("false"), "r1", 0).count() == 0
