@@ -107,6 +107,47 @@ def test_all_neighbours_of_a_dense_region_meet(spark):
         assert {tuple(r) for r in found} == {(a, b) for a in range(9) for b in range(a + 1, 9)}
 
 
+def test_profiles_rule_out_no_pair_at_the_threshold():
+    from chartdex.llm.near_dedup import profile, within_reach
+
+    rng = np.random.default_rng(11)
+    ruled_out = 0
+    for size in (1, 2, 7, 30, 150, 900, 20_000):
+        for _ in range(60):
+            pool = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
+            common = size - rng.integers(0, size // 3 + 1)
+            a, b = pool[:size], np.r_[pool[:common], pool[size : 2 * size - common - rng.integers(0, 2)]]
+            i, n = len(np.intersect1d(a, b)), len(a) + len(b)
+            may = within_reach(profile(a)[:, None], profile(b)[:, None], np.array([n]), 85)[0]
+            assert may or 100 * i < 85 * (n - i)
+            ruled_out += not may
+    assert ruled_out > 50
+
+
+def test_dense_region_of_different_texts_is_hardly_compared(spark, monkeypatch):
+    """Texts around one base, all below the threshold: neighbours in most orders, links in none."""
+    from chartdex.llm import near_dedup
+
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(300):
+        text = [f"w{k}" for k in range(150)]
+        for p in range(rng.integers(0, 18), 150, 18):
+            text[p] = f"x{rng.integers(0, 100_000)}"
+        rows.append((i, " ".join(text)))
+    compared, confirm = [], near_dedup._confirmed
+
+    def confirmed(pairs, sets, percent):
+        compared.append(pairs.count())
+        return confirm(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "_confirmed", confirmed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs, 3, 85).collect()}
+    assert got == groups_by_brute_force(rows, 3, 85)
+    assert sum(compared) < 4 * len(rows)
+
+
 def test_nearest_neighbours_recall(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
     ids = np.array([r["vec_id"] for r in table])
