@@ -156,12 +156,14 @@ def lookup_doctors(
     """Add the doctors of the first visit record, by row key, of each visit; null where there is none.
 
     A task hands on the first record it has of each visit, so a visit with very many
-    records is no hot key after the shuffle.
+    records is no hot key after the shuffle. First records are ranked by prefix and visit,
+    not by the packed key of the join, so that a visit that repeats is split as well.
     """
     keyed = _checked_patients(visits).withColumn(LOOKUP_KEY, _pack(_patient_prefix(oid, salt_range), F.col("VISIT_ID")))
-    own = records.where(in_own_prefix_range("rowkey")).withColumn(LOOKUP_KEY, _pack(prefix_of("rowkey"), F.col("VISIT_ID")))
-    first = first_by_key(own.select(LOOKUP_KEY, "rowkey", *DOCTOR_FIELDS), [LOOKUP_KEY], [F.asc(c) for c in ["rowkey", *DOCTOR_FIELDS]])
-    return keyed.join(first.drop("rowkey"), LOOKUP_KEY, "left").drop(LOOKUP_KEY)
+    own = records.where(in_own_prefix_range("rowkey")).select(prefix_of("rowkey").alias("__prefix"), "VISIT_ID", "rowkey", *DOCTOR_FIELDS)
+    first = first_by_key(own, ["VISIT_ID", "__prefix"], [F.asc(c) for c in ["rowkey", *DOCTOR_FIELDS]])
+    packed = _pack(F.col("__prefix"), F.col("VISIT_ID")).alias(LOOKUP_KEY)
+    return keyed.join(first.select(packed, *DOCTOR_FIELDS), LOOKUP_KEY, "left").drop(LOOKUP_KEY)
 
 
 def event_lab_join(events: DataFrame, labs: DataFrame) -> DataFrame:
